@@ -1,5 +1,5 @@
 """All comparison SQL by query name."""
 
-from checks import showcase
+from checks import pages, showcase
 
-ORACLES: dict[str, str] = {**showcase.ORACLES}
+ORACLES: dict[str, str] = {**showcase.ORACLES, **pages.ORACLES}

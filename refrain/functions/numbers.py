@@ -43,17 +43,17 @@ def min_max(value: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
 
 
-def bounds(df: DataFrame, columns: list[str]) -> Column:
-    """Smallest and largest value of each column as one scalar struct (fields lo_x, hi_x)."""
-    fields = [F.min(c).alias(f"lo_{c}") for c in columns] + [F.max(c).alias(f"hi_{c}") for c in columns]
-    return df.agg(F.struct(*fields).alias("bounds")).scalar()
-
-
-def scaled_mean(df: DataFrame, columns: list[str]) -> Column:
-    """Mean of the min-max scaled columns, six decimals."""
-    box = bounds(df, columns)
+def with_scaled_mean(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """Add the mean of the min-max scaled columns, six decimals.
+
+    The bounds are one scalar struct that is attached once and dropped again, so the plan holds
+    a single subquery however many columns there are.
+    """
+    fields = [F.min(c).cast("double").alias(f"lo_{c}") for c in columns]
+    fields += [F.max(c).cast("double").alias(f"hi_{c}") for c in columns]
+    box = df.agg(F.struct(*fields).alias("bounds")).scalar()
     parts = [
-        min_max(F.col(c).cast("double"), box[f"lo_{c}"].cast("double"), box[f"hi_{c}"].cast("double"))
-        for c in columns
+        min_max(F.col(c).cast("double"), F.col(f"__box.lo_{c}"), F.col(f"__box.hi_{c}")) for c in columns
     ]
-    return F.round(sum(parts[1:], parts[0]) / F.lit(float(len(columns))), 6)
+    mean = F.round(sum(parts[1:], parts[0]) / F.lit(float(len(columns))), 6)
+    return df.withColumn("__box", box).withColumn(name, mean).drop("__box")

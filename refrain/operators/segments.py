@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
 from refrain.functions.calendar import day_period, monday
-from refrain.functions.numbers import money_sum, scaled_mean
+from refrain.functions.numbers import money_sum, with_scaled_mean
 from refrain.functions.ordering import add_ntile
 
 
@@ -85,11 +85,13 @@ def portrait(comment: DataFrame, sentiment: DataFrame) -> DataFrame:
         .when(F.col("avg_sentiment") <= 0.4, L.USER_NEGATIVE)
         .otherwise(L.USER_NEUTRAL)
     )
-    value = scaled_mean(totals, ["comment_count_total", "reply_count_total", "like_received_total"])
+    valued = with_scaled_mean(
+        totals, ["comment_count_total", "reply_count_total", "like_received_total"], "user_value"
+    )
     core, consumer, light = L.USER_TYPES
     kind = F.when(F.col("user_value") >= 0.6, core).when(F.col("user_value") >= 0.3, consumer).otherwise(light)
     return (
-        totals.withColumns({"active_period": favourite, "sentiment_type": mood, "user_value": value})
+        valued.withColumns({"active_period": favourite, "sentiment_type": mood})
         .withColumn("user_type", kind)
         .drop(*[f"__p{i}" for i in range(len(periods))])
     )

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.operators import daily, segments
+from refrain.operators import daily, segments, sentiment
 from refrain.sources import model
 from refrain.sources.tables import read_table
 
@@ -64,6 +64,18 @@ class Warehouse:
     def comment_sentiment(self) -> DataFrame:
         return model.comment_sentiment(self.comment, self.table("labels"))
 
+    @cached_property
+    def sentiment_facts(self) -> DataFrame:
+        return sentiment.sentiment_facts(self.comment_sentiment, self.comment, self.song)
+
+    @cached_property
+    def song_sentiment(self) -> DataFrame:
+        return sentiment.song_sentiment(self.comment_sentiment)
+
+    @cached_property
+    def sentiment_summary(self) -> DataFrame:
+        return sentiment.sentiment_summary(self.comment_sentiment, self.comment_day)
+
     @cached_property
     def purchases(self) -> DataFrame:
         """Long-range activity: one row per order."""
