@@ -1,5 +1,5 @@
 """All comparison SQL by query name."""
 
-from checks import pages, showcase
+from checks import pages, showcase, texts
 
-ORACLES: dict[str, str] = {**showcase.ORACLES, **pages.ORACLES}
+ORACLES: dict[str, str] = {**showcase.ORACLES, **pages.ORACLES, **texts.ORACLES}

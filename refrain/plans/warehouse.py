@@ -12,9 +12,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.operators import daily, segments, sentiment
+from refrain.operators import daily, keywords, segments, sentiment
 from refrain.sources import model
-from refrain.sources.tables import read_table
+from refrain.sources.tables import read_table, spread
 
 
 class Warehouse:
@@ -48,6 +48,11 @@ class Warehouse:
     def comment_lengths(self) -> DataFrame:
         return model.with_length(self.comment, self.table("documents"))
 
+    @cached_property
+    def texts(self) -> DataFrame:
+        """Documents for work that is heavy per text."""
+        return spread(self.table("documents").select("doc_id", "source", "text"))
+
     @cached_property
     def song(self) -> DataFrame:
         return model.songs(self.table("part"))
@@ -125,3 +130,12 @@ class Warehouse:
     @cached_property
     def churn_risk(self) -> DataFrame:
         return segments.churn_risk(segments.recency_risk(self.churn_label))
+
+    @cached_property
+    def song_keywords(self) -> DataFrame:
+        """Keywords per source; a source of documents stands for a song."""
+        return keywords.group_keywords(self.texts, "source")
+
+    @cached_property
+    def global_keywords(self) -> DataFrame:
+        return keywords.corpus_keywords(self.texts)

@@ -67,3 +67,13 @@ def bound_query(
     for name, frame in tables.items():
         frame.createOrReplaceTempView(name)
     return spark.sql(text, args=dict(args))
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Give a frame of few input splits one partition per core before work that is heavy per row.
+
+    The number of splits is known from the file listing. Large inputs have far more splits than
+    there are cores and pass through unchanged, so nothing is shuffled at scale.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
