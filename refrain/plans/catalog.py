@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from refrain.plans import builders, moods, pages, showcase, texts  # noqa: F401
+from refrain.plans import builders, experiments, moods, pages, showcase, texts  # noqa: F401
 from refrain.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
