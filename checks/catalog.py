@@ -1,5 +1,5 @@
 """All comparison SQL by query name."""
 
-from checks import experiments, pages, showcase, texts
+from checks import experiments, pages, predictions, showcase, texts
 
-ORACLES: dict[str, str] = {**showcase.ORACLES, **pages.ORACLES, **texts.ORACLES, **experiments.ORACLES}
+ORACLES: dict[str, str] = {**showcase.ORACLES, **pages.ORACLES, **texts.ORACLES, **experiments.ORACLES, **predictions.ORACLES}

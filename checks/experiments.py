@@ -1,6 +1,6 @@
 """Comparison SQL of hypothesis tests and experiments."""
 
-from checks.sql import cte, mean_score, statement
+from checks.sql import cte, exact_mean, statement
 
 ORACLES: dict[str, str] = {}
 
@@ -81,12 +81,12 @@ def ranked(prefix: str, sample: str) -> None:
 cte(
     "heat_means",
     "song_daily",
-    f"SELECT song_id, round({mean_score('heat_score')}, 6) AS mean_heat FROM song_daily GROUP BY 1",
+    f"SELECT song_id, {exact_mean('heat_score')} AS mean_heat FROM song_daily GROUP BY 1",
 )
 cte(
     "heat_sample",
     "heat_means song_daily",
-    f"""SELECT CASE WHEN m.mean_heat >= (SELECT round({mean_score('mean_heat')}, 6) FROM heat_means) THEN 'high' ELSE 'low' END AS grp,
+    f"""SELECT CASE WHEN m.mean_heat >= (SELECT {exact_mean('mean_heat')} FROM heat_means) THEN 'high' ELSE 'low' END AS grp,
        d.comment_count AS value FROM song_daily d JOIN heat_means m USING (song_id)""",
 )
 ranked("heat", "heat_sample")

@@ -1,6 +1,6 @@
 """Comparison SQL of the report pages and metric tables."""
 
-from checks.sql import cte, mean_score, percent, rounded, statement
+from checks.sql import cte, exact_mean, percent, rounded, statement
 
 ORACLES: dict[str, str] = {}
 
@@ -92,7 +92,7 @@ FROM song_rank JOIN song USING (song_id) ORDER BY heat_score DESC, dt, song_id L
 add(
     "gd_song_top5",
     "song_daily song",
-    f"""SELECT song_id, any_value(song_name) AS name, round({mean_score('heat_score')}, 6) AS heat
+    f"""SELECT song_id, any_value(song_name) AS name, {exact_mean('heat_score')} AS heat
 FROM song_daily JOIN song USING (song_id) GROUP BY song_id ORDER BY heat DESC, song_id LIMIT 5""",
 )
 add("fd_lifecycle_dist", "song_rank", "SELECT lifecycle_stage, count(*) AS cnt FROM song_rank GROUP BY 1")

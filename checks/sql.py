@@ -57,6 +57,11 @@ def mean_score(column: str, window: str = "") -> str:
     return f"{total} / (CAST(count({column}){over} AS DOUBLE) * 1000000)"
 
 
+def exact_mean(column: str) -> str:
+    """Mean of six-decimal scores, rounded exactly to six decimals."""
+    return rounded(f"sum(CAST(round({column} * 1000000) AS BIGINT))", f"count({column}) * 1000000", 6)
+
+
 def min_max(value: str, low: str, high: str) -> str:
     return f"(CASE WHEN {high} > {low} THEN ({value} - {low}) / ({high} - {low}) ELSE 0.0 END)"
 

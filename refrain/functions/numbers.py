@@ -34,8 +34,8 @@ def micro(column: Column) -> Column:
 
 
 def mean_of_scores(column: Column) -> Column:
-    """Mean of six-decimal scores over a group, summed exactly."""
-    return F.sum(micro(column)).cast("double") / (F.count(column).cast("double") * 1_000_000)
+    """Mean of six-decimal scores over a group, summed and rounded exactly to six decimals."""
+    return ratio(F.sum(micro(column)), F.count(column) * 1_000_000, 6)
 
 
 def min_max(value: Column, low: Column, high: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
 from refrain.functions.calendar import season
-from refrain.functions.numbers import mean_of_scores, min_max, ratio
+from refrain.functions.numbers import micro, min_max, ratio
 from refrain.functions.ordering import number_rows
 
 HEAT_WEIGHTS = {"comment_count": 0.5, "like_total": 0.3, "reply_count": 0.2}
@@ -97,7 +97,7 @@ def lifecycle_stage(
 
 def mean_over(score: Column, window) -> Column:
     """Mean of six-decimal scores over a window, summed exactly."""
-    total = F.sum(F.round(score * 1_000_000).cast("long")).over(window).cast("double")
+    total = F.sum(micro(score)).over(window).cast("double")
     return total / (F.count(score).over(window).cast("double") * 1_000_000)
 
 

@@ -30,8 +30,8 @@ def weekend_sample(w: Warehouse) -> DataFrame:
 
 def heat_sample(w: Warehouse) -> DataFrame:
     """Daily comments of songs whose mean heat is at or above the mean of all songs, and the others."""
-    means = w.song_daily.groupBy("song_id").agg(F.round(mean_of_scores(F.col("heat_score")), 6).alias("mean_heat"))
-    middle = means.agg(F.round(mean_of_scores(F.col("mean_heat")), 6).alias("m")).scalar()
+    means = w.song_daily.groupBy("song_id").agg(mean_of_scores(F.col("heat_score")).alias("mean_heat"))
+    middle = means.agg(mean_of_scores(F.col("mean_heat")).alias("m")).scalar()
     side = F.when(F.col("mean_heat") >= F.col("__m"), "high").otherwise("low")
     grouped = means.withColumn("__m", middle).select("song_id", side.alias("grp"))
     return w.song_daily.join(grouped, "song_id").select("grp", F.col("comment_count").alias("value"))

@@ -200,7 +200,7 @@ def hot_songs(w: Warehouse) -> DataFrame:
 
 @query("gd_song_top5")
 def song_top5(w: Warehouse) -> DataFrame:
-    means = w.song_daily.groupBy("song_id").agg(F.round(mean_of_scores(F.col("heat_score")), 6).alias("heat"))
+    means = w.song_daily.groupBy("song_id").agg(mean_of_scores(F.col("heat_score")).alias("heat"))
     named = means.join(w.song.select("song_id", F.col("song_name").alias("name")), "song_id")
     return named.select("song_id", "name", "heat").orderBy(F.desc("heat"), "song_id").limit(5)
 

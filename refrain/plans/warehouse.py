@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.operators import daily, keywords, segments, sentiment
+from refrain.operators import daily, features, keywords, segments, sentiment
 from refrain.sources import model
 from refrain.sources.tables import read_table, spread
 
@@ -139,3 +139,23 @@ class Warehouse:
     @cached_property
     def global_keywords(self) -> DataFrame:
         return keywords.corpus_keywords(self.texts)
+
+    @property
+    def ship_day(self) -> Column:
+        return self.last_day(self.table("lineitem"), "l_shipdate")
+
+    @cached_property
+    def interactions(self) -> DataFrame:
+        return features.interactions(self.table("lineitem"))
+
+    @cached_property
+    def song_features(self) -> DataFrame:
+        return features.song_features(self.interactions, self.song, self.ship_day)
+
+    @cached_property
+    def hot_label(self) -> DataFrame:
+        return features.hot_label(self.interactions)
+
+    @cached_property
+    def forecast(self) -> DataFrame:
+        return features.forecast(self.song_daily)
