@@ -37,8 +37,8 @@ def auc_from_counts(counts: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def auc(scored: DataFrame) -> DataFrame:
-    return auc_from_counts(_by_score(scored))
+def auc(scored: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    return auc_from_counts(_by_score(scored, group), group)
 
 
 def average_precision(scored: DataFrame) -> DataFrame:
@@ -78,17 +78,20 @@ def poisson_thresholds() -> list[int]:
     return steps
 
 
-def poisson_weight(row_id: Column, replicate: Column) -> Column:
-    """Number of times a row occurs in a replicate: Poisson(1) from a digest of both ids.
+def poisson_draw(row_id: Column, replicate: Column) -> Column:
+    """32 digest bits of a row in a replicate.
 
-    It depends on the ids only, so a task that runs again draws the same sample.
+    They depend on the ids only, so a task that runs again draws the same sample.
     """
     text = F.concat_ws(":", row_id.cast("string"), replicate.cast("string"))
-    draw = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
-    weight = F.lit(0).cast("long")
-    for step in poisson_thresholds():
-        weight = weight + F.when(draw >= step, 1).otherwise(0)
-    return weight
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def poisson_weight(draw: Column) -> Column:
+    """Number of times the row occurs in the replicate: Poisson(1) by inversion."""
+    return sum(
+        (F.when(draw >= step, 1).otherwise(0) for step in poisson_thresholds()), F.lit(0)
+    ).cast("long")
 
 
 def bootstrap_auc(scored: DataFrame, *, replicates: int = 100, level: float = 0.95) -> DataFrame:
@@ -97,9 +100,11 @@ def bootstrap_auc(scored: DataFrame, *, replicates: int = 100, level: float = 0.
     Rows meet their replicates inside the task and are folded to (replicate, score) before the
     shuffle; a replicate is never one task.
     """
-    drawn = scored.select(
-        "row_id", "label", "score", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
-    ).withColumn("w", poisson_weight(F.col("row_id"), F.col("replicate")))
+    draws = F.transform(
+        F.sequence(F.lit(1), F.lit(replicates)),
+        lambda b: F.struct(b.alias("replicate"), poisson_draw(F.col("row_id"), b).alias("draw")),
+    )
+    drawn = scored.select("label", "score", F.inline(draws)).withColumn("w", poisson_weight(F.col("draw")))
     label = F.col("label").cast("long")
     counts = (
         drawn.filter(F.col("w") > 0)

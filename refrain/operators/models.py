@@ -7,15 +7,16 @@ and every iteration reads them again.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,28 +50,25 @@ def fold_of(row_id: Column, folds: int = FOLDS) -> Column:
 
 
 def training_frame(data: DataFrame, row_id: str, features: Sequence[str]) -> DataFrame:
-    """(row_id, label, fold, weight, features): balanced class weights, missing values as 0."""
-    counts = data.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).alias("c")
-    ).scalar()
-    pos, n = F.col("__c.pos"), F.col("__c.n")
-    weight = F.when(F.col("label") == 1, F.try_divide(n, 2 * pos)).otherwise(F.try_divide(n, 2 * (n - pos)))
+    """(row_id, label, fold, features, weight): missing values as 0, balanced class weights."""
     values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
-    return cut_lineage(
-        data.withColumn("__c", counts).select(
+    rows = cut_lineage(
+        data.select(
             F.col(row_id).alias("row_id"),
             F.col("label").cast("double").alias("label"),
             fold_of(F.col(row_id)).alias("fold"),
-            F.coalesce(weight, F.lit(1.0)).alias("weight"),
             array_to_vector(values).alias("features"),
         )
     )
+    count, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    weights = [count / (2 * n) if n else 1.0 for n in (positive, count - positive)]
+    return rows.withColumn("weight", F.when(F.col("label") == 1, weights[0]).otherwise(weights[1]))
 
 
 def score(model, frame: DataFrame) -> DataFrame:
     probability = vector_to_array("probability")[1]
     return model.transform(frame).select(
-        "row_id", F.col("label").cast("long").alias("label"), F.round(probability, 9).alias("score")
+        "row_id", "fold", F.col("label").cast("long").alias("label"), F.round(probability, 9).alias("score")
     )
 
 
@@ -84,38 +82,44 @@ class Trained:
     quality: dict[str, float]
 
 
-def cross_validate(frame: DataFrame, name: str) -> tuple[object, float, float]:
-    """Model on all rows, mean and deviation of the AUC over the folds."""
-    validator = CrossValidator(
-        estimator=classifier(name),
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
-        numFolds=FOLDS,
-        foldCol="fold",
-        parallelism=FOLDS,
-    )
-    fitted = validator.fit(frame)
-    return fitted.bestModel, float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0])
+def train(frame: DataFrame, name: str) -> Trained:
+    """Fit on all rows and on all but each fold; every row is scored by the model that did not see it.
 
+    The fits are independent Spark jobs submitted side by side. AUC is computed for all folds in
+    one grouped pass; the first fold is also the holdout of the remaining metrics.
+    """
 
-def train(frame: DataFrame, name: str) -> Trained:
-    """Cross-validate on all folds, then hold out one fold for the remaining metrics."""
-    model, auc_mean, auc_std = cross_validate(frame, name)
-    held_out = classifier(name).fit(frame.filter(F.col("fold") != 0))
-    test = cut_lineage(score(held_out, frame.filter(F.col("fold") == 0)))
-    row = (
-        evaluate.confusion(test)
-        .withColumn("auc_holdout", evaluate.auc(test).select("auc").scalar())
-        .withColumn("pr_auc", evaluate.average_precision(test).scalar())
-        .withColumn(
-            "ci", evaluate.bootstrap_auc(test).select(F.struct("auc_ci_lower", "auc_ci_upper")).scalar()
+    def fit(left_out: int | None):
+        rows = frame if left_out is None else frame.filter(F.col("fold") != left_out)
+        return classifier(name).fit(rows)
+
+    with ThreadPoolExecutor(max_workers=FOLDS + 1) as pool:
+        jobs = [pool.submit(inheritable_thread_target(frame.sparkSession)(fit), k) for k in [None, *range(FOLDS)]]
+        model, *fold_models = [job.result() for job in jobs]
+    parts = [score(m, frame.filter(F.col("fold") == k)) for k, m in enumerate(fold_models)]
+    unseen = cut_lineage(reduce(DataFrame.unionByName, parts))
+    holdout = unseen.filter(F.col("fold") == 0)
+    per_fold = F.struct(
+        F.avg("auc").alias("auc"),
+        F.stddev_pop("auc").alias("auc_std"),
+        F.max(F.when(F.col("fold") == 0, F.col("auc"))).alias("auc_holdout"),
+    )
+    interval = F.struct("auc_ci_lower", "auc_ci_upper")
+    quality = (
+        evaluate.confusion(holdout)
+        .withColumns(
+            {
+                "folds": evaluate.auc(unseen, ["fold"]).agg(per_fold.alias("folds")).scalar(),
+                "pr_auc": evaluate.average_precision(holdout).scalar(),
+                "interval": evaluate.bootstrap_auc(holdout).select(interval).scalar(),
+            }
         )
-        .select("*", "ci.*")
-        .drop("ci")
+        .select("*", "folds.*", "interval.*")
+        .drop("folds", "interval")
         .first()
+        .asDict()
     )
-    quality = {"auc": auc_mean, "auc_std": auc_std, **row.asDict()}
-    return Trained(name, model, cut_lineage(score(model, frame)), quality)
+    return Trained(name, model, cut_lineage(score(model, frame).drop("fold")), quality)
 
 
 METRIC_COLUMNS = [
