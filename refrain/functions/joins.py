@@ -13,7 +13,8 @@ def join_heavy(facts: DataFrame, lookup: DataFrame, key: str, weight: str) -> Da
 
     A key that holds more than 1/1000 of the facts is heavy; fewer than 1000 keys can be, so their
     lookup rows are broadcast whatever the size of the data, and their facts are not shuffled.
-    All other keys are small enough for an ordinary shuffled join. No row is dropped.
+    All other keys are small enough for an ordinary shuffled join. No row is dropped. ``lookup``
+    is read three times, so pass one that is cheap to read (cut its lineage first).
     """
     total = lookup.agg(F.sum(weight).alias("total")).scalar()
     columns = [c for c in lookup.columns if c not in (key, weight)]

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refrain.session import cut_lineage
@@ -25,10 +25,15 @@ _LOCAL = "__local"
 _LOCAL_BITS = 33  # layout of monotonically_increasing_id: partition number above 33 bits of position
 
 
+def _range_count(spark: SparkSession) -> int:
+    """Ranges to cut into: the partitions a shuffle starts with on this cluster."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     keys = [*group, *order]
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
+    ordered = df.repartitionByRange(_range_count(df.sparkSession), *keys).sortWithinPartitions(*keys)
     position = F.monotonically_increasing_id()
     ranged = ordered.withColumn(_LOCAL, position).withColumns(
         {

@@ -10,8 +10,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from refrain.functions.joins import join_heavy
 from refrain.functions.numbers import percent
-from refrain.operators.tokens import IDEOGRAPH, words
+from refrain.operators.tokens import words
+from refrain.session import cut_lineage
 
 # Terms that mark advertising or leaked credentials.
 BLACKLIST = ["加微信", "刷单", "代刷", "兼职", "casino", "viagra", "token", "password"]
@@ -83,14 +85,33 @@ def exact_groups(documents: DataFrame) -> DataFrame:
     Only digest and id are shuffled, folded on the map side, so a text copied into a third of
     all rows costs one row per task.
     """
-    return documents.groupBy(F.md5(normal_form(F.col("text")).cast("binary")).alias("digest")).agg(
+    return digests(documents).groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")
     )
 
 
+def digests(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", F.md5(normal_form(F.col("text")).cast("binary")).alias("digest"))
+
+
+def later_copies(documents: DataFrame) -> DataFrame:
+    """Ids of all documents that repeat an earlier one.
+
+    Works on (doc_id, digest); a text with very many copies is a heavy key of the join.
+    """
+    repeated = cut_lineage(exact_groups(documents).filter(F.col("copies") > 1))
+    first = repeated.select("digest", F.col("doc_id").alias("first_id"), "copies")
+    found = join_heavy(digests(documents), first, "digest", "copies")
+    return found.filter(F.col("doc_id") != F.col("first_id")).select("doc_id")
+
+
 def keep_first(documents: DataFrame) -> DataFrame:
-    """The earliest document of every group of equal texts."""
-    return documents.join(exact_groups(documents).select("doc_id"), "doc_id", "left_semi")
+    """The earliest document of every group of equal texts.
+
+    The anti join is against the copies only, usually far fewer than the documents that stay,
+    so the texts themselves need not be shuffled while the copies fit a broadcast.
+    """
+    return documents.join(later_copies(documents), "doc_id", "left_anti")
 
 
 def retention_report(steps: DataFrame) -> DataFrame:

@@ -104,7 +104,10 @@ def bootstrap_auc(scored: DataFrame, *, replicates: int = 100, level: float = 0.
         F.sequence(F.lit(1), F.lit(replicates)),
         lambda b: F.struct(b.alias("replicate"), poisson_draw(F.col("row_id"), b).alias("draw")),
     )
-    drawn = scored.select("label", "score", F.inline(draws)).withColumn("w", poisson_weight(F.col("draw")))
+    # Scored rows are few bytes and would be merged into few partitions, but each becomes many rows.
+    partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = scored.repartition(partitions, "row_id")
+    drawn = spread.select("label", "score", F.inline(draws)).withColumn("w", poisson_weight(F.col("draw")))
     label = F.col("label").cast("long")
     counts = (
         drawn.filter(F.col("w") > 0)

@@ -179,7 +179,8 @@ def user_features(activity: DataFrame, as_of: Column, *, horizon: int = 90) -> D
         within(90).alias("recent_90"),
         within(180).alias("recent_180"),
         within(365).alias("recent_365"),
-        F.countDistinct(F.when(before, F.trunc(day, "month"))).alias("active_months"),
+        # A set bounded by the calendar folds on the map side; a distinct count would shuffle twice.
+        F.size(F.collect_set(F.when(before, F.trunc(day, "month")))).alias("active_months"),
         F.when(F.count_if(~before) == 0, 1).otherwise(0).cast("long").alias("label"),
     )
     known = grouped.filter(F.col("frequency") > 0)

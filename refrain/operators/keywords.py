@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
 from refrain.functions.joins import join_heavy
-from refrain.functions.numbers import ratio
+from refrain.functions.numbers import micro, ratio
 from refrain.operators.tokens import is_stop_word, segments
+from refrain.session import cut_lineage
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -55,9 +56,9 @@ def group_keywords(documents: DataFrame, group: str, *, top: int = 20) -> DataFr
     that occurs in nearly every group is broadcast, not shuffled to one task. The cut to ``top``
     is applied per task before the shuffle.
     """
-    counts = group_counts(documents, [group])
-    frequency = counts.groupBy("word").agg(
-        F.sum("df").alias("document_count"), F.count(F.lit(1)).alias("groups")
+    counts = cut_lineage(group_counts(documents, [group]))  # the texts are read once
+    frequency = cut_lineage(
+        counts.groupBy("word").agg(F.sum("df").alias("document_count"), F.count(F.lit(1)).alias("groups"))
     )
     totals = counts.groupBy(group).agg(F.sum("tf").alias("total"))
     all_documents = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -84,7 +85,7 @@ def group_keywords(documents: DataFrame, group: str, *, top: int = 20) -> DataFr
 
 def corpus_keywords(documents: DataFrame, *, top: int = 20) -> DataFrame:
     """The highest TF-IDF words of the whole corpus."""
-    counts = group_counts(documents, [])
+    counts = cut_lineage(group_counts(documents, []))
     totals = counts.agg(F.sum("tf").alias("n")).scalar()
     all_documents = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
     score = F.col("tf") / F.col("__total") * inverse_frequency(F.col("__documents"), F.col("df"))
@@ -107,7 +108,7 @@ def sentiment_lexicon(documents: DataFrame, sentiment: DataFrame, *, size: int =
     decided = documents.join(
         sentiment.filter(F.col("sentiment").isin(L.POSITIVE, L.NEGATIVE)), "doc_id"
     ).select("sentiment", F.explode(segments(F.col("text"))).alias("word"))
-    counts = (
+    counts = cut_lineage(
         decided.filter(~is_stop_word(F.col("word")))
         .groupBy("word")
         .agg(
@@ -135,20 +136,14 @@ def lexicon_score(documents: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Mean weight of the listed words of every text, NULL where none occurs.
 
     The lexicon has a fixed number of rows, so it is broadcast; a text is read and folded in one
-    task and only its two sums are shuffled.
+    task and only its two sums are shuffled. Texts without words keep their row.
     """
-    found = documents.select("doc_id", F.explode(segments(F.col("text"))).alias("word")).join(
-        F.broadcast(lexicon), "word"
+    found = documents.select("doc_id", F.explode_outer(segments(F.col("text"))).alias("word")).join(
+        F.broadcast(lexicon), "word", "left"
     )
     sums = found.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("matched"),
-        F.sum(F.round(F.col("weight") * 1_000_000).cast("long")).alias("__w"),
+        F.count("weight").alias("matched"), F.sum(micro(F.col("weight"))).alias("__w")
     )
     score = ratio(F.col("__w"), F.col("matched") * 1_000_000, 6)
     mood = F.when(score > 0, L.POSITIVE).when(score < 0, L.NEGATIVE).otherwise(L.NEUTRAL)
-    return documents.select("doc_id").join(sums, "doc_id", "left").select(
-        "doc_id",
-        F.coalesce("matched", F.lit(0).cast("long")).alias("matched"),
-        score.alias("score"),
-        mood.alias("sentiment"),
-    )
+    return sums.select("doc_id", "matched", score.alias("score"), mood.alias("sentiment"))

@@ -104,9 +104,9 @@ def close_pairs(distinct: DataFrame, crowded: int = CROWDED) -> DataFrame:
     return small.unionByName(large.select("low", "high"))
 
 
-def near_groups(documents: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """(doc_id, keep_id): every document with words and the earliest document of its near copies."""
-    signed = cut_lineage(signatures(documents))  # the texts are read once; 16 bytes per document remain
+def near_groups(signed: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """(doc_id, keep_id): every signed document and the earliest document of its near copies."""
+    signed = cut_lineage(signed)  # the texts are read once; 16 bytes per document remain
     folded = cut_lineage(
         signed.groupBy("signature").agg(
             F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
@@ -119,4 +119,4 @@ def near_groups(documents: DataFrame, crowded: int = CROWDED) -> DataFrame:
     kept = folded.join(roots, folded["first_id"] == roots["node"], "left").select(
         "signature", "copies", F.coalesce("root", "first_id").alias("keep_id")
     )
-    return join_heavy(signed, kept, "signature", "copies").select("doc_id", "keep_id")
+    return join_heavy(signed, cut_lineage(kept), "signature", "copies").select("doc_id", "keep_id")

@@ -23,24 +23,35 @@ def _share(sentiment: str) -> Column:
     return F.count_if(F.col("sentiment") == sentiment) / F.count(F.lit(1))
 
 
-def weekly_movement(facts: DataFrame, *, keep: int = 30) -> DataFrame:
+def timed_scores(sentiment: DataFrame, comment: DataFrame) -> DataFrame:
+    """Scored comments with their time; comments without one are left out."""
+    moments = comment.filter(F.col("comment_time").isNotNull()).select("comment_id", "comment_time")
+    return sentiment.join(moments, "comment_id")
+
+
+def weekly_movement(timed: DataFrame, song: DataFrame, *, keep: int = 30) -> DataFrame:
     """Shares per Monday week, their velocity and acceleration; the last ``keep`` weeks.
 
     Anything that is neither positive nor negative counts as neutral, a missing probability as 0.
-    Differences are taken over the weeks that are present, before the cut to the last ones.
-    The windows run over one row per week.
+    Comments are folded to (week, song) before songs that are not in the dimension are taken out,
+    so a hot song does not meet the join with its comments. Differences are taken over the weeks
+    that are present, before the cut to the last ones; the windows run over one row per week.
     """
-    total = F.count(F.lit(1))
-    positive = F.count_if(F.col("sentiment") == L.POSITIVE)
-    negative = F.count_if(F.col("sentiment") == L.NEGATIVE)
+    per_song = timed.groupBy(monday(F.to_date("comment_time")).alias("week"), "song_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("sentiment") == L.POSITIVE).alias("pos"),
+        F.count_if(F.col("sentiment") == L.NEGATIVE).alias("neg"),
+        F.sum(F.coalesce("positive_prob", F.lit(0.0))).alias("prob"),
+    )
+    total, positive, negative = F.sum("n"), F.sum("pos"), F.sum("neg")
     weeks = (
-        facts.filter(F.col("comment_time").isNotNull())
-        .groupBy(monday(F.to_date("comment_time")).alias("week"))
+        per_song.join(song.select("song_id"), "song_id", "left_semi")
+        .groupBy("week")
         .agg(
             (positive / total).alias("positive_ratio"),
             (negative / total).alias("negative_ratio"),
             ((total - positive - negative) / total).alias("neutral_ratio"),
-            (F.sum(F.coalesce("positive_prob", F.lit(0.0))) / total).alias("avg_positive_prob"),
+            (F.sum("prob") / total).alias("avg_positive_prob"),
             total.alias("comment_count"),
         )
     )
@@ -61,22 +72,24 @@ def weekly_movement(facts: DataFrame, *, keep: int = 30) -> DataFrame:
     )
 
 
-def shift_per_song(facts: DataFrame, *, minimum: int = 10, share: float = 0.3) -> DataFrame:
+def shift_per_song(
+    timed: DataFrame, song: DataFrame, *, minimum: int = 10, share: float = 0.3
+) -> DataFrame:
     """Early against recent positive share of every song with at least ``minimum`` comments.
 
     Positions in time come from range-partitioned numbering, so the comments of a hot song are
-    never sorted in one task; only the early and recent ones go on to the aggregation.
+    never sorted in one task; only the early and recent ones go on to the aggregation. Names are
+    joined to the one row per song that is left.
     """
-    timed = facts.filter(F.col("comment_time").isNotNull()).select(
+    slim = timed.select(
         "song_id",
-        "song_name",
         "comment_id",
         "comment_time",
-        (F.col("sentiment") == L.POSITIVE).alias("__positive"),
+        F.coalesce(F.col("sentiment") == L.POSITIVE, F.lit(False)).alias("__positive"),
         F.coalesce("positive_prob", F.lit(0.0)).alias("__prob"),
     )
     ordered = number_rows(
-        timed, ["comment_time", "comment_id"], ["song_id"], index="__rn", size="__n"
+        slim, ["comment_time", "comment_id"], ["song_id"], index="__rn", size="__n"
     )
     slice_size = F.greatest(F.lit(1).cast("long"), F.floor(F.col("__n") * F.lit(share)))
     edges = (
@@ -89,11 +102,9 @@ def shift_per_song(facts: DataFrame, *, minimum: int = 10, share: float = 0.3) -
         )
         .filter("__early or __recent")
     )
-    positive = F.coalesce(F.col("__positive"), F.lit(False))
     grouped = edges.groupBy("song_id").agg(
-        F.min_by("song_name", "__rn").alias("song_name"),
-        (F.count_if(F.col("__early") & positive) / F.count_if("__early")).alias("early"),
-        (F.count_if(F.col("__recent") & positive) / F.count_if("__recent")).alias("recent"),
+        (F.count_if(F.col("__early") & F.col("__positive")) / F.count_if("__early")).alias("early"),
+        (F.count_if(F.col("__recent") & F.col("__positive")) / F.count_if("__recent")).alias("recent"),
         (F.sum(F.when(F.col("__recent"), F.col("__prob"))) / F.count_if("__recent")).alias("prob"),
         F.first("__n").alias("comment_count"),
     )
@@ -101,7 +112,7 @@ def shift_per_song(facts: DataFrame, *, minimum: int = 10, share: float = 0.3) -
     change = F.when(F.col("early") <= 1e-6, change).otherwise(
         F.try_divide(F.col("recent") - F.col("early"), F.col("early")) * 100
     )
-    return grouped.select(
+    return grouped.join(song.select("song_id", "song_name"), "song_id").select(
         "song_id",
         "song_name",
         F.round("early", 6).alias("early_positive_ratio"),

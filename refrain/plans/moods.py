@@ -77,13 +77,13 @@ def sentiment_join(w: Warehouse) -> DataFrame:
 
 @query("gd_sentiment_weekly")
 def weekly(w: Warehouse) -> DataFrame:
-    return S.weekly_movement(w.sentiment_facts).orderBy("week")
+    return S.weekly_movement(w.timed_scores, w.song).orderBy("week")
 
 
 @query("js_sentiment_cards")
 def cards(w: Warehouse) -> DataFrame:
     """Total over the shown weeks and the unweighted means of their shares."""
-    return S.weekly_movement(w.sentiment_facts).agg(
+    return S.weekly_movement(w.timed_scores, w.song).agg(
         F.sum("comment_count").alias("total_comments"),
         F.round(F.avg("positive_ratio") * 100, 1).alias("avg_positive_pct"),
         F.round(F.avg("negative_ratio") * 100, 1).alias("avg_negative_pct"),
@@ -93,7 +93,7 @@ def cards(w: Warehouse) -> DataFrame:
 
 @query("gd_sentiment_shift")
 def shift(w: Warehouse) -> DataFrame:
-    return S.shift_per_song(w.sentiment_facts)
+    return S.shift_per_song(w.timed_scores, w.song)
 
 
 @query("gd_rising10")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from refrain.operators import clean, keywords, nearcopies
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
+from refrain.session import cut_lineage
 from refrain.sources.model import document_sentiment
 
 
@@ -38,7 +39,7 @@ def exact(w: Warehouse) -> DataFrame:
 
 @query("dedup_simhash")
 def near(w: Warehouse) -> DataFrame:
-    groups = nearcopies.near_groups(w.texts)
+    groups = nearcopies.near_groups(nearcopies.signatures(w.texts))
     return groups.withColumn("is_kept", (F.col("doc_id") == F.col("keep_id")).cast("int").cast("long"))
 
 
@@ -73,8 +74,11 @@ def report(w: Warehouse) -> DataFrame:
     )
     total = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
     valid = checked.filter(F.col("failed").isNull()).select("doc_id", "text")
-    exact_removed = clean.exact_groups(valid).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("removed"))
-    groups = nearcopies.near_groups(clean.keep_first(valid))
+    exact = cut_lineage(clean.exact_groups(valid))
+    exact_removed = exact.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("removed"))
+    # Signatures are joined with the kept ids, so no text is shuffled.
+    signed = nearcopies.signatures(valid).join(exact.select("doc_id"), "doc_id", "left_semi")
+    groups = nearcopies.near_groups(signed)
     near_removed = groups.agg(F.count_if(F.col("doc_id") != F.col("keep_id")).alias("removed"))
 
     def step(number: int, name: str, frame: DataFrame) -> DataFrame:

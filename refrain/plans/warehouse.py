@@ -73,6 +73,10 @@ class Warehouse:
     def sentiment_facts(self) -> DataFrame:
         return sentiment.sentiment_facts(self.comment_sentiment, self.comment, self.song)
 
+    @cached_property
+    def timed_scores(self) -> DataFrame:
+        return sentiment.timed_scores(self.comment_sentiment, self.comment)
+
     @cached_property
     def song_sentiment(self) -> DataFrame:
         return sentiment.song_sentiment(self.comment_sentiment)

@@ -70,9 +70,9 @@ def bound_query(
 
 
 def spread(frame: DataFrame) -> DataFrame:
-    """Give a frame of few input splits one partition per core before work that is heavy per row.
+    """Give a scan of few input splits one partition per core before work that is heavy per row.
 
-    The number of splits is known from the file listing. Large inputs have far more splits than
+    ``frame`` is a scan with projections and filters only. The number of splits is known from the file listing. Large inputs have far more splits than
     there are cores and pass through unchanged, so nothing is shuffled at scale.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism

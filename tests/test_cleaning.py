@@ -54,6 +54,7 @@ def test_exact_copies_ignore_case_and_spaces(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     groups = sorted((r.doc_id, r.copies) for r in clean.exact_groups(frame).collect())
     assert groups == [(0, 3), (3, 1), (4, 1)]
+    assert sorted(r.doc_id for r in clean.later_copies(frame).collect()) == [1, 2]
     assert sorted(r.doc_id for r in clean.keep_first(frame).collect()) == [0, 3, 4]
 
 
@@ -122,7 +123,7 @@ def test_near_groups_keep_the_earliest(spark):
     base = " ".join(f"word{i}" for i in range(300))
     texts = [base, "something else entirely here", base + " extra", base.upper(), "other " + base]
     frame = spark.createDataFrame([(i + 10, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = {r.doc_id: r.keep_id for r in nearcopies.near_groups(frame).collect()}
+    got = {r.doc_id: r.keep_id for r in nearcopies.near_groups(nearcopies.signatures(frame)).collect()}
     assert got[11] == 11
     assert got[10] == got[13] == 10
     signatures = {r.doc_id: r.signature for r in nearcopies.signatures(frame).collect()}

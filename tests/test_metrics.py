@@ -148,6 +148,16 @@ def test_histogram_edges(spark):
 FACTS = "song_id long, song_name string, comment_id long, positive_prob double, sentiment string, comment_time timestamp_ntz"
 
 
+def facts(spark, rows):
+    """Scored comments with their time, and the songs they belong to."""
+    frame = spark.createDataFrame(rows, FACTS)
+    timed = sentiment.timed_scores(
+        frame.select("comment_id", "song_id", "positive_prob", "sentiment"),
+        frame.select("comment_id", "comment_time"),
+    )
+    return timed, frame.select("song_id", "song_name").distinct()
+
+
 def test_weekly_movement(spark):
     rows = [
         (1, "a", 1, 1.0, "positive", at(0)),
@@ -156,7 +166,7 @@ def test_weekly_movement(spark):
         (1, "a", 4, 1.0, "positive", at(28)),  # two weeks are missing in between
         (1, "a", 5, 1.0, "positive", None),
     ]
-    out = sentiment.weekly_movement(spark.createDataFrame(rows, FACTS)).orderBy("week").collect()
+    out = sentiment.weekly_movement(*facts(spark, rows)).orderBy("week").collect()
     assert [(r.positive_ratio, r.neutral_ratio, r.negative_ratio) for r in out] == [(0.5, 0.5, 0), (0, 0, 1), (1, 0, 0)]
     assert [r.avg_positive_prob for r in out] == [0.5, 0.0, 1.0]
     assert [r.velocity for r in out] == [0.0, -0.5, 1.0]
@@ -165,7 +175,7 @@ def test_weekly_movement(spark):
 
 def test_weekly_movement_keeps_the_last_weeks(spark):
     rows = [(1, "a", i, 1.0, "positive" if i % 2 else "negative", at(7 * i)) for i in range(31)]
-    out = sentiment.weekly_movement(spark.createDataFrame(rows, FACTS)).orderBy("week").collect()
+    out = sentiment.weekly_movement(*facts(spark, rows)).orderBy("week").collect()
     assert len(out) == 30
     assert out[0].week == DAY + dt.timedelta(days=7) and out[0].velocity == 1.0
 
@@ -173,7 +183,7 @@ def test_weekly_movement_keeps_the_last_weeks(spark):
 @pytest.mark.parametrize("n", [9, 10, 11, 33])
 def test_shift_slices(spark, n):
     rows = [(1, "a", i, 1.0, "positive" if i >= n // 2 else "negative", at(0, 0, i)) for i in range(n)]
-    out = sentiment.shift_per_song(spark.createDataFrame(rows, FACTS)).collect()
+    out = sentiment.shift_per_song(*facts(spark, rows)).collect()
     if n < 10:
         assert out == []
         return
@@ -186,11 +196,19 @@ def test_shift_slices(spark, n):
 def test_shift_relative_change(spark):
     moods = ["positive"] * 3 + ["neutral"] * 4 + ["positive", "negative", "negative"]
     rows = [(1, "a", i, 0.5, m, at(0, 0, i)) for i, m in enumerate(moods)]
-    row = sentiment.shift_per_song(spark.createDataFrame(rows, FACTS)).first()
+    row = sentiment.shift_per_song(*facts(spark, rows)).first()
     assert (row.early_positive_ratio, row.recent_positive_ratio) == (1.0, 0.333333)
     assert row.change_rate == -66.666667
 
 
+def test_unknown_songs_do_not_count(spark):
+    rows = [(s, "x", 10 * s + i, 1.0, "positive", at(0, 0, i)) for s in (1, 2) for i in range(10)]
+    timed, songs = facts(spark, rows)
+    known = songs.filter("song_id = 1")
+    assert sentiment.weekly_movement(timed, known).first().comment_count == 10
+    assert [r.song_id for r in sentiment.shift_per_song(timed, known).collect()] == [1]
+
+
 def test_portrait_without_sentiment_and_ties_in_periods(spark):
     comment = spark.createDataFrame(
         [(7, 1, 0, at(0, 20), 1), (7, 0, 0, at(0, 3), 2), (8, 5, 1, None, 3)],
@@ -219,6 +237,20 @@ def test_invariants(spark):
     assert pages.trend_counts(w).count() <= 31
 
 
+def test_approximate_matrix_is_close_to_the_exact_one(spark):
+    from refrain.plans.warehouse import Warehouse
+
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    exact = {r.artist_name: r for r in showcase.artist_matrix(w.comment_lengths, w.song, more_than=0).collect()}
+    close = showcase.artist_matrix(w.comment_lengths, w.song, more_than=0, approximate=True).collect()
+    assert len(close) == len(exact) > 0
+    for row in close:
+        if row.artist_name in exact:
+            want = exact[row.artist_name]
+            assert abs(row.comment_count - want.comment_count) <= 0.15 * want.comment_count + 1
+            assert row.like_total == want.like_total
+
+
 def test_as_of_is_a_parameter(spark):
     from refrain.plans.warehouse import Warehouse
 

@@ -25,7 +25,12 @@ def test_same_as_sql(spark, duck, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+# The approximate matrix keeps artists with over 100 comments, which the smallest tables lack;
+# it is compared with the exact one in test_metrics.
+ROWS_ONLY = sorted(set(QUERIES) - set(ORACLES) - {"sq5_artist_matrix_approx"})
+
+
+@pytest.mark.parametrize("name", ROWS_ONLY)
 def test_has_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).limit(1).count() == 1
 

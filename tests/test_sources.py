@@ -63,6 +63,11 @@ def test_time_filter_reaches_the_files(spark):
     assert "GreaterThanOrEqual(ts" in scan and "props" not in scan
 
 
+def test_documents_carry_their_length(spark):
+    documents = read_table(spark, "/root/testdata/sf0.01", "documents")
+    assert documents.filter("n_chars IS DISTINCT FROM char_length(text)").count() == 0
+
+
 def test_spread_leaves_wide_inputs_alone(spark):
     wide = spark.range(0, 1000, 1, 64)
     assert spread(wide) is wide
