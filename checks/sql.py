@@ -9,14 +9,18 @@ def cte(name: str, deps: str, body: str) -> None:
     CTES[name] = (tuple(deps.split()), body)
 
 
-def statement(deps: str, body: str) -> str:
-    """The body behind a WITH clause that holds its CTEs and everything they need, in order."""
+def statement(deps: str, body: str, replaced: dict[str, tuple[str, str]] | None = None) -> str:
+    """The body behind a WITH clause that holds its CTEs and everything they need, in order.
+
+    ``replaced`` gives other definitions, as (dependencies, SQL), to some of the names.
+    """
+    known = {**CTES, **{n: (tuple(d.split()), sql) for n, (d, sql) in (replaced or {}).items()}}
     ordered: list[str] = []
 
     def visit(name: str) -> None:
         if name in ordered:
             return
-        for parent in CTES[name][0]:
+        for parent in known[name][0]:
             visit(parent)
         ordered.append(name)
 
@@ -24,15 +28,10 @@ def statement(deps: str, body: str) -> str:
         visit(name)
     if not ordered:
         return body
-    recursive = "RECURSIVE " if any("/*recursive*/" in CTES[n][1] for n in ordered) else ""
+    recursive = "RECURSIVE " if any("/*recursive*/" in known[n][1] for n in ordered) else ""
     heads = []
     for name in ordered:
-        text = CTES[name][1]
-        head = name
-        if text.startswith("("):  # explicit column list: "(a, b) AS body"
-            columns, _, text = text.partition(" AS ")
-            head = f"{name}{columns}"
-        heads.append(f"{head} AS (\n{text}\n)")
+        heads.append(f"{name} AS (\n{known[name][1]}\n)")
     return f"WITH {recursive}" + ",\n".join(heads) + "\n" + body
 
 

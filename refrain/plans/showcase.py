@@ -195,16 +195,27 @@ def union_all(w: Warehouse) -> DataFrame:
     return united
 
 
-def artist_matrix(comment: DataFrame, song: DataFrame, *, more_than: int, approximate: bool = False) -> DataFrame:
+def artist_matrix(
+    comment: DataFrame,
+    song: DataFrame,
+    *,
+    more_than: int,
+    approximate: bool = False,
+    collation: str | None = None,
+) -> DataFrame:
     """Interaction profile per artist. Shares divide row counts by distinct comments.
 
+    Names are told apart byte by byte; a collation such as UNICODE_CI_AI groups those that differ
+    in case or accents only.
+
     The distinct counts expand the rows by (artist, comment) and (artist, user), so an artist
     with most of the comments is spread over many tasks before the per-artist merge.
     """
     distinct = F.approx_count_distinct if approximate else F.countDistinct
     length, likes = F.col("content_length"), F.col("like_count")
+    name = F.collate("artist_name", collation) if collation else F.col("artist_name")
     grouped = (
-        comment.join(song.select("song_id", "artist_name"), "song_id")
+        comment.join(song.select("song_id", name.alias("artist_name")), "song_id")
         .groupBy("artist_name")
         .agg(
             distinct("comment_id").alias("comment_count"),

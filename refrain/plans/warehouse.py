@@ -1,7 +1,8 @@
 """Warehouse: the lazily built layers that named queries read.
 
 Every property is a plan, not data: nothing runs until a query is executed. ``as_of`` fixes the
-day to report on; by default it is the last day found in the facts.
+day to report on; by default it is the last day found in the facts. ``cleaned`` restricts comments
+to those whose text passes the cleaning steps; the named queries use all of them.
 """
 
 from __future__ import annotations
@@ -13,15 +14,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refrain.operators import daily, features, keywords, segments, sentiment
+from refrain.operators.survivors import kept_documents
 from refrain.sources import model
 from refrain.sources.tables import read_table, spread
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, as_of: dt.date | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, as_of: dt.date | None = None, cleaned: bool = False
+    ):
         self.spark = spark
         self.root = root
         self._as_of = as_of
+        self._cleaned = cleaned
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
@@ -42,7 +47,10 @@ class Warehouse:
 
     @cached_property
     def comment(self) -> DataFrame:
-        return model.comments(self.table("events"), self.table("documents"))
+        comment = model.comments(self.table("events"), self.table("documents"))
+        if self._cleaned:
+            comment = comment.join(kept_documents(self.texts), "doc_id", "left_semi")
+        return comment
 
     @cached_property
     def comment_lengths(self) -> DataFrame:

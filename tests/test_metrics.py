@@ -251,6 +251,18 @@ def test_approximate_matrix_is_close_to_the_exact_one(spark):
             assert row.like_total == want.like_total
 
 
+def test_artists_by_collation(spark):
+    comment = spark.createDataFrame(
+        [(i, i, i % 3, 1, 10) for i in range(6)],
+        "comment_id long, user_id long, song_id long, like_count long, content_length long",
+    )
+    songs = spark.createDataFrame([(0, "Zoé"), (1, "ZOE"), (2, "other")], "song_id long, artist_name string")
+    binary = showcase.artist_matrix(comment, songs, more_than=0)
+    assert sorted(r.comment_count for r in binary.collect()) == [2, 2, 2]
+    loose = showcase.artist_matrix(comment, songs, more_than=0, collation="UNICODE_CI_AI")
+    assert sorted(r.comment_count for r in loose.collect()) == [2, 4]
+
+
 def test_as_of_is_a_parameter(spark):
     from refrain.plans.warehouse import Warehouse
 

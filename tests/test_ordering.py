@@ -72,6 +72,14 @@ def test_running_totals_with_group_and_grand_total(frame):
     assert got == want
 
 
+def test_a_hot_group_is_spread_over_the_ranges(spark):
+    from refrain.functions.ordering import _ranged
+
+    hot = spark.range(20000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("g"))
+    sizes = [r["count"] for r in _ranged(hot, ["g"], ["id"]).groupBy("__range").count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) == 5 and max(sizes) < 2 * 20000 / 5
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "id long, g string, v long")
     assert number_rows(empty, ["id"], ["g"]).count() == 0

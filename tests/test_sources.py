@@ -29,6 +29,24 @@ def test_only_present_partitions_are_replaced(spark):
     assert sorted(r.v for r in spark.read.parquet(target).collect()) == [2, 9]
 
 
+def test_layers_are_built_from_the_written_ones(spark):
+    from refrain.plans.layers import write_layers
+    from refrain.plans.warehouse import Warehouse
+
+    target = scratch_path(spark, "layers")
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    names = ["dwd_comment_detail", "dws_song_daily", "ads_song_rank", "ads_user_portrait"]
+    stored = write_layers(w, target, names)
+    for attribute in ("song_daily", "song_rank", "portrait"):
+        fresh, written = getattr(w, attribute), getattr(stored, attribute).select(getattr(w, attribute).columns)
+        assert fresh.exceptAll(written).count() == written.exceptAll(fresh).count() == 0
+    day = stored.song_daily.filter("dt = DATE'2024-01-05'")
+    plan = day._jdf.queryExecution().toString()
+    assert "events.parquet" not in plan
+    partition = plan[plan.index("PartitionFilters: [") :].splitlines()[0]
+    assert "dt" in partition.split("]")[0]
+
+
 def test_export_policies(spark, tmp_path):
     frame = spark.createDataFrame(
         [(Decimal("1.50"), dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5), bytearray(b"ab"), None)],
@@ -43,6 +61,11 @@ def test_export_policies(spark, tmp_path):
     assert json.loads("".join(lines)) == number
 
 
+def test_undecodable_bytes_are_ignored(spark):
+    frame = spark.createDataFrame([(bytearray(b"a\xff\xc3b\xe6\xad\x8c"),)], "b binary")
+    assert json.loads(writers.to_json_rows(frame, "as_float").first().json) == {"b": "ab歌"}
+
+
 def test_parameters_are_bound_not_spliced(spark):
     frame = spark.createDataFrame([(1, "x' OR '1'='1")], "id long, s string")
     rows = bound_query(spark, "SELECT id FROM t WHERE s = :s", {"s": "x' OR '1'='1"}, {"t": frame}).collect()
