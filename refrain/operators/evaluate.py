@@ -41,19 +41,23 @@ def auc(scored: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     return auc_from_counts(_by_score(scored, group), group)
 
 
-def average_precision(scored: DataFrame) -> DataFrame:
+def average_precision(scored: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """Area under the precision-recall curve as average precision over the distinct scores."""
     running = running_totals(
-        _by_score(scored), [F.desc("score")], {"tp": "pos", "fp": "neg"}, grand={"all_pos": "pos"}
+        _by_score(scored, group),
+        [F.desc("score")],
+        {"tp": "pos", "fp": "neg"},
+        group,
+        grand={"all_pos": "pos"},
     )
     step = F.col("pos") / F.col("all_pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))
-    return running.agg(F.sum(F.when(F.col("all_pos") > 0, step)).alias("pr_auc"))
+    return running.groupBy(*group).agg(F.sum(F.when(F.col("all_pos") > 0, step)).alias("pr_auc"))
 
 
-def confusion(scored: DataFrame, *, threshold: float = 0.5) -> DataFrame:
+def confusion(scored: DataFrame, group: Sequence[str] = (), *, threshold: float = 0.5) -> DataFrame:
     """F1, accuracy and the support of both classes at a threshold."""
     hit, true = F.col("score") >= threshold, F.col("label") == 1
-    counts = scored.agg(
+    counts = scored.groupBy(*group).agg(
         F.count_if(hit & true).alias("tp"),
         F.count_if(hit & ~true).alias("fp"),
         F.count_if(~hit & true).alias("fn"),
@@ -61,6 +65,7 @@ def confusion(scored: DataFrame, *, threshold: float = 0.5) -> DataFrame:
     )
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return counts.select(
+        *group,
         F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)).alias("f1"),
         F.try_divide(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         (tp + fn).alias("support_pos"),
@@ -94,7 +99,9 @@ def poisson_weight(draw: Column) -> Column:
     ).cast("long")
 
 
-def bootstrap_auc(scored: DataFrame, *, replicates: int = 100, level: float = 0.95) -> DataFrame:
+def bootstrap_auc(
+    scored: DataFrame, group: Sequence[str] = (), *, replicates: int = 100, level: float = 0.95
+) -> DataFrame:
     """Percentile interval of the AUC over Poisson bootstrap replicates.
 
     Rows meet their replicates inside the task and are folded to (replicate, score) before the
@@ -107,15 +114,15 @@ def bootstrap_auc(scored: DataFrame, *, replicates: int = 100, level: float = 0.
     # Scored rows are few bytes and would be merged into few partitions, but each becomes many rows.
     partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = scored.repartition(partitions, "row_id")
-    drawn = spread.select("label", "score", F.inline(draws)).withColumn("w", poisson_weight(F.col("draw")))
+    drawn = spread.select(*group, "label", "score", F.inline(draws)).withColumn("w", poisson_weight(F.col("draw")))
     label = F.col("label").cast("long")
     counts = (
         drawn.filter(F.col("w") > 0)
-        .groupBy("replicate", "score")
+        .groupBy(*group, "replicate", "score")
         .agg(F.sum(F.col("w") * label).alias("pos"), F.sum(F.col("w") * (1 - label)).alias("neg"))
     )
     tail = (1 - level) / 2
-    return auc_from_counts(counts, ["replicate"]).agg(
+    return auc_from_counts(counts, [*group, "replicate"]).groupBy(*group).agg(
         F.count("auc").alias("replicates"),
         F.round(F.avg("auc"), 6).alias("auc_mean"),
         F.round(F.percentile("auc", tail), 6).alias("auc_ci_lower"),

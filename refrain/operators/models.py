@@ -72,54 +72,54 @@ def score(model, frame: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
-class Trained:
-    """A model fitted on all rows with its cross-validated and held-out quality."""
-
-    name: str
-    model: object
-    scored: DataFrame
-    quality: dict[str, float]
+def fit(frame: DataFrame, name: str):
+    return classifier(name).fit(frame)
 
 
-def train(frame: DataFrame, name: str) -> Trained:
-    """Fit on all rows and on all but each fold; every row is scored by the model that did not see it.
+def out_of_fold(frame: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(model_name, row_id, fold, label, score): every row scored by a model that did not see its fold.
 
-    The fits are independent Spark jobs submitted side by side. AUC is computed for all folds in
-    one grouped pass; the first fold is also the holdout of the remaining metrics.
+    The fits are independent Spark jobs submitted side by side.
     """
 
-    def fit(left_out: int | None):
-        rows = frame if left_out is None else frame.filter(F.col("fold") != left_out)
-        return classifier(name).fit(rows)
+    def fit_without(name: str, fold: int) -> DataFrame:
+        model = fit(frame.filter(F.col("fold") != fold), name)
+        held_out = score(model, frame.filter(F.col("fold") == fold))
+        return held_out.select(F.lit(name).alias("model_name"), "*")
+
+    inherit = inheritable_thread_target(frame.sparkSession)
+    with ThreadPoolExecutor(max_workers=FOLDS) as pool:
+        jobs = [pool.submit(inherit(fit_without), n, k) for n in names for k in range(FOLDS)]
+        parts = [job.result() for job in jobs]
+    return cut_lineage(reduce(DataFrame.unionByName, parts))
+
 
-    with ThreadPoolExecutor(max_workers=FOLDS + 1) as pool:
-        jobs = [pool.submit(inheritable_thread_target(frame.sparkSession)(fit), k) for k in [None, *range(FOLDS)]]
-        model, *fold_models = [job.result() for job in jobs]
-    parts = [score(m, frame.filter(F.col("fold") == k)) for k, m in enumerate(fold_models)]
-    unseen = cut_lineage(reduce(DataFrame.unionByName, parts))
+def quality(unseen: DataFrame) -> DataFrame:
+    """One row per model from its out-of-fold scores.
+
+    AUC is the mean over the folds; the first fold is the holdout of the other metrics. All models
+    are evaluated together in grouped passes.
+    """
+    key = ["model_name"]
     holdout = unseen.filter(F.col("fold") == 0)
-    per_fold = F.struct(
-        F.avg("auc").alias("auc"),
-        F.stddev_pop("auc").alias("auc_std"),
-        F.max(F.when(F.col("fold") == 0, F.col("auc"))).alias("auc_holdout"),
-    )
-    interval = F.struct("auc_ci_lower", "auc_ci_upper")
-    quality = (
-        evaluate.confusion(holdout)
-        .withColumns(
-            {
-                "folds": evaluate.auc(unseen, ["fold"]).agg(per_fold.alias("folds")).scalar(),
-                "pr_auc": evaluate.average_precision(holdout).scalar(),
-                "interval": evaluate.bootstrap_auc(holdout).select(interval).scalar(),
-            }
+    folds = (
+        evaluate.auc(unseen, ["model_name", "fold"])
+        .groupBy("model_name")
+        .agg(
+            F.avg("auc").alias("auc"),
+            F.stddev_pop("auc").alias("auc_std"),
+            F.max(F.when(F.col("fold") == 0, F.col("auc"))).alias("auc_holdout"),
         )
-        .select("*", "folds.*", "interval.*")
-        .drop("folds", "interval")
-        .first()
-        .asDict()
     )
-    return Trained(name, model, cut_lineage(score(model, frame).drop("fold")), quality)
+    parts = [
+        evaluate.average_precision(holdout, key),
+        evaluate.confusion(holdout, key),
+        evaluate.bootstrap_auc(holdout, key).select("model_name", "auc_ci_lower", "auc_ci_upper"),
+    ]
+    joined = reduce(lambda left, right: left.join(right, "model_name"), parts, folds)
+    # Nine decimals: sums of doubles differ in their last bits with the order of the rows.
+    values = [F.col(c) if c.startswith("support") else F.round(c, 9).alias(c) for c in METRIC_COLUMNS]
+    return joined.select("model_name", *values)
 
 
 METRIC_COLUMNS = [
@@ -136,13 +136,6 @@ METRIC_COLUMNS = [
 ]
 
 
-def metrics_frame(spark, trained: Sequence[Trained]) -> DataFrame:
-    """One row per model; the numbers are scalars that training returned to the driver."""
-    rows = [(t.name, *[t.quality[c] for c in METRIC_COLUMNS]) for t in trained]
-    kinds = ", ".join(f"{c} {'long' if c.startswith('support') else 'double'}" for c in METRIC_COLUMNS)
-    return spark.createDataFrame(rows, f"model_name string, {kinds}")
-
-
 def tree_importance(spark, model, features: Sequence[str]) -> DataFrame:
     weights = model.featureImportances.toArray()
     return spark.createDataFrame(
@@ -150,7 +143,7 @@ def tree_importance(spark, model, features: Sequence[str]) -> DataFrame:
     )
 
 
-def permutation_importance(frame: DataFrame, trained: Trained, features: Sequence[str]) -> DataFrame:
+def permutation_importance(frame: DataFrame, model, features: Sequence[str]) -> DataFrame:
     """Loss of AUC when one feature takes the value of another row.
 
     Rows are numbered in two digest orders and paired on the number; the pairing serves every
@@ -168,7 +161,7 @@ def permutation_importance(frame: DataFrame, trained: Trained, features: Sequenc
         "mixed",
         F.transform("own", lambda x, i: F.when(i == F.col("j"), F.get("other", F.col("j"))).otherwise(x)),
     )
-    scored = trained.model.transform(
+    scored = model.transform(
         unfolded.select("row_id", "label", "j", array_to_vector("mixed").alias("features"))
     ).select(
         "j", F.col("label").cast("long").alias("label"), F.round(vector_to_array("probability")[1], 9).alias("score")
@@ -176,7 +169,7 @@ def permutation_importance(frame: DataFrame, trained: Trained, features: Sequenc
     label = F.col("label")
     counts = scored.groupBy("j", "score").agg(F.sum(label).alias("pos"), F.sum(1 - label).alias("neg"))
     shuffled = evaluate.auc_from_counts(counts, ["j"])
-    base = evaluate.auc(trained.scored).select("auc").scalar()
+    base = evaluate.auc(score(model, frame)).select("auc").scalar()
     names = F.array(*[F.lit(f) for f in features])
     return shuffled.withColumn("base", base).select(
         F.get(names, F.col("j")).alias("feature"),
@@ -184,9 +177,9 @@ def permutation_importance(frame: DataFrame, trained: Trained, features: Sequenc
     )
 
 
-def linear_attribution(frame: DataFrame, trained: Trained, features: Sequence[str]) -> DataFrame:
+def linear_attribution(frame: DataFrame, model, features: Sequence[str]) -> DataFrame:
     """Exact attribution of a linear model: coefficient times distance from the mean, averaged."""
-    weights = [float(x) for x in trained.model.coefficients.toArray()]
+    weights = [float(x) for x in model.coefficients.toArray()]
     values = frame.select(F.posexplode(vector_to_array("features")).alias("j", "x"))
     means = values.groupBy("j").agg(F.avg("x").alias("mean"))
     spread = values.join(F.broadcast(means), "j")  # one row per feature

@@ -16,6 +16,7 @@ from refrain.functions import labels as L
 from refrain.operators import features, models, segments
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
+from refrain.session import cut_lineage
 from refrain.sources.model import document_sentiment
 
 _kept: dict[tuple[str, str, str], object] = {}
@@ -60,24 +61,37 @@ def churn_suite(w: Warehouse) -> Suite:
     return once(w, "churn", build)
 
 
-def trained(w: Warehouse, kind: str, name: str) -> models.Trained:
-    suite = hot_suite(w) if kind == "hot" else churn_suite(w)
-    return once(w, f"{kind}:{name}", lambda: models.train(suite.frame, name))
+def suite_of(w: Warehouse, kind: str) -> Suite:
+    return hot_suite(w) if kind == "hot" else churn_suite(w)
+
+
+def trained(w: Warehouse, kind: str, name: str):
+    """The model fitted on all rows."""
+    return once(w, f"{kind}:{name}", lambda: models.fit(suite_of(w, kind).frame, name))
+
+
+def predictions(w: Warehouse, kind: str, name: str) -> DataFrame:
+    return models.score(trained(w, kind, name), suite_of(w, kind).frame)
 
 
 def metrics(w: Warehouse, kind: str) -> DataFrame:
-    return models.metrics_frame(w.spark, [trained(w, kind, name) for name in models.MODELS])
+    """Quality of all models of one target; a few rows, kept like a written table."""
+
+    def build() -> DataFrame:
+        return cut_lineage(models.quality(models.out_of_fold(suite_of(w, kind).frame, models.MODELS)))
+
+    return once(w, f"{kind}:metrics", build)
 
 
 def hot_predictions(w: Warehouse, name: str) -> DataFrame:
-    scored = trained(w, "hot", name).scored.select(
+    scored = predictions(w, "hot", name).select(
         F.col("row_id").alias("song_id"), "label", F.round("score", 6).alias("hot_prob")
     )
     return features.flag_hot(scored)
 
 
 def churn_predictions(w: Warehouse, name: str) -> DataFrame:
-    scored = trained(w, "churn", name).scored.select(
+    scored = predictions(w, "churn", name).select(
         F.col("row_id").alias("user_id"), "label", F.round("score", 6).alias("churn_prob")
     )
     return segments.churn_risk(scored)
@@ -146,7 +160,7 @@ def churn_metrics_page(w: Warehouse) -> DataFrame:
 @query("ml_feature_importance")
 def importance(w: Warehouse) -> DataFrame:
     forest = trained(w, "hot", "RandomForest")
-    return models.tree_importance(w.spark, forest.model, hot_suite(w).features)
+    return models.tree_importance(w.spark, forest, hot_suite(w).features)
 
 
 @query("fd_feature_top8")

@@ -19,22 +19,32 @@ def planted(spark):
     return models.training_frame(data, "id", ["x", "noise", "gap"])
 
 
-@pytest.mark.parametrize("name", models.MODELS)
-def test_planted_signal(planted, name):
-    quality = models.train(planted, name).quality
-    assert quality["auc"] > 0.85 and quality["auc_holdout"] > 0.8
-    assert quality["auc_ci_lower"] <= quality["auc_holdout"] <= quality["auc_ci_upper"]
-    assert quality["support_pos"] + quality["support_neg"] == planted.filter("fold = 0").count()
+def test_planted_signal(planted):
+    unseen = models.out_of_fold(planted, models.MODELS)
+    assert unseen.count() == 3 * planted.count()
+    rows = models.quality(unseen).collect()
+    assert sorted(r.model_name for r in rows) == sorted(models.MODELS)
+    for row in rows:
+        assert row.auc > 0.85 and row.auc_holdout > 0.8
+        assert row.auc_ci_lower <= row.auc_holdout <= row.auc_ci_upper
+        assert row.support_pos + row.support_neg == planted.filter("fold = 0").count()
+
+
+def test_grouped_quality_equals_one_model_alone(planted):
+    unseen = models.out_of_fold(planted, models.MODELS[:2])
+    together = {r.model_name: r for r in models.quality(unseen).collect()}
+    alone = models.quality(unseen.filter(f"model_name = '{models.MODELS[1]}'")).first()
+    assert together[models.MODELS[1]] == alone
 
 
 def test_importances_find_the_feature(spark, planted):
-    forest = models.train(planted, "RandomForest")
+    forest = models.fit(planted, "RandomForest")
     names = ["x", "noise", "gap"]
     drop = {r.feature: r.auc_drop for r in models.permutation_importance(planted, forest, names).collect()}
     assert max(drop, key=drop.get) == "x" and abs(drop["gap"]) < 0.05
-    tree = {r.feature: r.importance for r in models.tree_importance(spark, forest.model, names).collect()}
+    tree = {r.feature: r.importance for r in models.tree_importance(spark, forest, names).collect()}
     assert max(tree, key=tree.get) == "x" and sum(tree.values()) == pytest.approx(1)
-    linear = models.train(planted, "LogisticRegression")
+    linear = models.fit(planted, "LogisticRegression")
     part = {r.feature: r.mean_abs_attribution for r in models.linear_attribution(planted, linear, names).collect()}
     assert max(part, key=part.get) == "x"
 
