@@ -11,10 +11,12 @@ from refrain.session import cut_lineage
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of the edges (a, b) is connected to.
 
-    Every round takes the smallest root among the neighbours and then follows that root's own
-    root, which shortens long chains by more than one step per round. The labels are cut to
-    reliable storage each round, so plans stay short and a lost executor costs one round only.
-    It stops when no label moves; there is no limit on rounds.
+    Every round takes the smallest root among the neighbours and then follows that root to its own
+    root of the round before, which shortens long chains by more than one step per round. A root
+    shared by very many nodes is a hot key of that second join; its rows are narrow, and the join
+    is an inner one that adaptive execution may split. The labels are cut to reliable storage each
+    round, so plans stay short and a lost executor costs one round only. It stops when no label
+    moves; there is no limit on rounds.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = cut_lineage(both)
@@ -27,11 +29,10 @@ def components(edges: DataFrame) -> DataFrame:
         seen = both.join(labels.select(F.col("node").alias("b"), "root"), "b")
         nearest = seen.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         hooked = labels.join(nearest, "node").select(
-            "node", F.col("root").alias("was"), F.least("root", "near").alias("root")
+            "node", F.col("root").alias("was"), F.least("root", "near").alias("hook")
         )
-        parents = hooked.select(F.col("node").alias("root"), F.col("root").alias("up"))
         jumped = cut_lineage(
-            hooked.join(parents, "root").select("node", "was", F.col("up").alias("root"))
+            hooked.join(labels.toDF("hook", "up"), "hook").select("node", "was", F.col("up").alias("root"))
         )
         moved = jumped.filter(F.col("was") != F.col("root")).limit(1).count()
         labels = jumped.select("node", "root")
