@@ -79,29 +79,35 @@ def normal_form(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SPACES, " "))
 
 
-def exact_groups(documents: DataFrame) -> DataFrame:
-    """Groups of equal texts: the earliest id and the number of copies.
+def digests(documents: DataFrame) -> DataFrame:
+    """(doc_id, digest) of the normal form; equal texts have equal digests."""
+    return documents.select("doc_id", digest(F.col("text")).alias("digest"))
+
+
+def digest(text: Column) -> Column:
+    return F.md5(normal_form(text).cast("binary"))
+
 
-    Only digest and id are shuffled, folded on the map side, so a text copied into a third of
-    all rows costs one row per task.
+def exact_groups(keyed: DataFrame) -> DataFrame:
+    """Groups of equal texts from (doc_id, digest): the earliest id and the number of copies.
+
+    Folded on the map side, so a text copied into a third of all rows costs one row per task.
     """
-    return digests(documents).groupBy("digest").agg(
+    return keyed.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")
     )
 
 
-def digests(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", F.md5(normal_form(F.col("text")).cast("binary")).alias("digest"))
-
-
 def later_copies(documents: DataFrame) -> DataFrame:
     """Ids of all documents that repeat an earlier one.
 
-    Works on (doc_id, digest); a text with very many copies is a heavy key of the join.
+    The texts are read once, for their digests; a text with very many copies is a heavy key of
+    the join.
     """
-    repeated = cut_lineage(exact_groups(documents).filter(F.col("copies") > 1))
+    keyed = cut_lineage(digests(documents))
+    repeated = cut_lineage(exact_groups(keyed).filter(F.col("copies") > 1))
     first = repeated.select("digest", F.col("doc_id").alias("first_id"), "copies")
-    found = join_heavy(digests(documents), first, "digest", "copies")
+    found = join_heavy(keyed, first, "digest", "copies")
     return found.filter(F.col("doc_id") != F.col("first_id")).select("doc_id")
 
 

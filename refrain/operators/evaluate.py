@@ -113,7 +113,7 @@ def bootstrap_auc(
     )
     # Scored rows are few bytes and would be merged into few partitions, but each becomes many rows.
     partitions = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = scored.repartition(partitions, "row_id")
+    spread = scored.repartition(partitions)
     drawn = spread.select(*group, "label", "score", F.inline(draws)).withColumn("w", poisson_weight(F.col("draw")))
     label = F.col("label").cast("long")
     counts = (

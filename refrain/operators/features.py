@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from refrain.functions.numbers import mean_of_scores, money_sum, with_scaled_mean
 from refrain.functions.ordering import add_rank
+from refrain.session import cut_lineage
 
 HOT_SHARE = 0.9
 
@@ -80,7 +81,7 @@ def song_features(facts: DataFrame, song: DataFrame, as_of: Column) -> DataFrame
     def slope(column: str) -> Column:
         return F.round(F.regr_slope(F.col(column).cast("double"), month), 6)
 
-    items = (
+    items = cut_lineage(  # read twice below: one row per item instead of the facts
         monthly.withColumn("heat", _log_heat())
         .groupBy("song_id")
         .agg(

@@ -21,26 +21,18 @@ def word_counts(documents: DataFrame) -> DataFrame:
 def group_counts(documents: DataFrame, group: list[str]) -> DataFrame:
     """Per group and word: occurrences and number of documents, in one pass.
 
-    A text contributes each occurrence once and each distinct word once more as a marker; both
-    counters are sums, so (group, word) folds on the map side and no (document, word) pair is
-    shuffled.
+    A text is unfolded into its words (kind 0) and its distinct words (kind 1); both counters are
+    sums, so (group, word) folds on the map side and no (document, word) pair is shuffled.
     """
-    marks = documents.withColumn("__words", segments(F.col("text"))).select(
-        *group,
-        F.explode(
-            F.concat(
-                F.transform("__words", lambda w: F.struct(w.alias("word"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-                F.transform(
-                    F.array_distinct("__words"),
-                    lambda w: F.struct(w.alias("word"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-                ),
-            )
-        ).alias("mark"),
+    found = documents.withColumn("__words", segments(F.col("text")))
+    lists = found.select(
+        *group, F.posexplode(F.array("__words", F.array_distinct("__words"))).alias("kind", "listed")
     )
+    marks = lists.select(*group, "kind", F.explode("listed").alias("word"))
     return (
-        marks.filter(~is_stop_word(F.col("mark.word")))
-        .groupBy(*group, F.col("mark.word").alias("word"))
-        .agg(F.sum("mark.tf").alias("tf"), F.sum("mark.df").alias("df"))
+        marks.filter(~is_stop_word(F.col("word")))
+        .groupBy(*group, "word")
+        .agg(F.count_if(F.col("kind") == 0).alias("tf"), F.count_if(F.col("kind") == 1).alias("df"))
     )
 
 

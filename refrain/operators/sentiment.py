@@ -34,7 +34,8 @@ def weekly_movement(timed: DataFrame, song: DataFrame, *, keep: int = 30) -> Dat
 
     Anything that is neither positive nor negative counts as neutral, a missing probability as 0.
     Comments are folded to (week, song) before songs that are not in the dimension are taken out,
-    so a hot song does not meet the join with its comments. Differences are taken over the weeks
+    so a hot song does not meet the join with its comments. (An inner join: the optimizer would
+    push a semi join on the grouping key back down to the comments.) Differences are taken over the weeks
     that are present, before the cut to the last ones; the windows run over one row per week.
     """
     per_song = timed.groupBy(monday(F.to_date("comment_time")).alias("week"), "song_id").agg(
@@ -45,7 +46,7 @@ def weekly_movement(timed: DataFrame, song: DataFrame, *, keep: int = 30) -> Dat
     )
     total, positive, negative = F.sum("n"), F.sum("pos"), F.sum("neg")
     weeks = (
-        per_song.join(song.select("song_id"), "song_id", "left_semi")
+        per_song.join(song.select("song_id"), "song_id")
         .groupBy("week")
         .agg(
             (positive / total).alias("positive_ratio"),

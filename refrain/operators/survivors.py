@@ -1,4 +1,4 @@
-"""The documents that remain after all cleaning steps."""
+"""The documents that remain after all cleaning steps, and what each step removed."""
 
 from __future__ import annotations
 
@@ -9,13 +9,56 @@ from refrain.operators import clean, nearcopies
 from refrain.session import cut_lineage
 
 
-def kept_documents(documents: DataFrame) -> DataFrame:
-    """Ids of the documents that pass the rules and repeat no earlier one, exactly or nearly.
+def text_profile(documents: DataFrame) -> DataFrame:
+    """(doc_id, failed, digest): the first rule a text fails, and its digest, in one pass."""
+    text = F.col("text")
+    return cut_lineage(
+        documents.select(
+            "doc_id", clean.first_failure(text).alias("failed"), clean.digest(text).alias("digest")
+        )
+    )
+
+
+def first_copies(profile: DataFrame) -> DataFrame:
+    """Groups of equal texts among the valid ones."""
+    return cut_lineage(clean.exact_groups(profile.filter(F.col("failed").isNull())))
+
+
+def near_groups_of(documents: DataFrame, first: DataFrame) -> DataFrame:
+    """(doc_id, keep_id) over the first copies.
 
-    Signatures, not texts, are joined with the ids of first copies.
+    Signatures, not texts, are joined with the ids of first copies. It is an inner join on unique
+    ids, because a semi join would be pushed below the signatures, to the words.
     """
-    valid = documents.filter(clean.first_failure(F.col("text")).isNull()).select("doc_id", "text")
-    first = cut_lineage(clean.exact_groups(valid)).select("doc_id")
-    signed = nearcopies.signatures(valid).join(first, "doc_id", "left_semi")
-    groups = nearcopies.near_groups(signed)
+    valid = documents.filter(clean.first_failure(F.col("text")).isNull())
+    signed = nearcopies.signatures(valid).join(first.select("doc_id"), "doc_id")
+    return nearcopies.near_groups(signed)
+
+
+def kept_documents(documents: DataFrame) -> DataFrame:
+    """Ids of the documents that pass the rules and repeat no earlier one, exactly or nearly."""
+    groups = near_groups_of(documents, first_copies(text_profile(documents)))
     return groups.filter(F.col("doc_id") == F.col("keep_id")).select("doc_id")
+
+
+def cleaning_steps(documents: DataFrame) -> DataFrame:
+    """(step_no, step, removed, total) for the rules, exact copies and near copies."""
+    profile = text_profile(documents)
+    names = clean.rule_names()
+    total = profile.agg(F.count(F.lit(1)).alias("n")).scalar()
+    rules = profile.agg(*[F.count_if(F.col("failed") == n).alias(n) for n in names])
+    steps = rules.unpivot([], names, "step", "removed")
+    first = first_copies(profile)
+    exact = first.agg(
+        F.lit("exact_copy").alias("step"), F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("removed")
+    )
+    near = near_groups_of(documents, first).agg(
+        F.lit("near_copy").alias("step"), F.count_if(F.col("doc_id") != F.col("keep_id")).alias("removed")
+    )
+    order = F.array(*[F.lit(n) for n in [*names, "exact_copy", "near_copy"]])
+    return steps.unionByName(exact).unionByName(near).select(
+        F.array_position(order, F.col("step")).cast("long").alias("step_no"),
+        "step",
+        "removed",
+        total.alias("total"),
+    )

@@ -19,7 +19,7 @@ IDEOGRAPH = "[\\x{4e00}-\\x{9fff}]"
 
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), NOT_A_WORD), lambda word: word != "")
+    return F.array_remove(F.split(F.lower(text), NOT_A_WORD), "")
 
 
 def _pairs(word: Column) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refrain.operators.quality import orphans
 from refrain.plans.pages import lifecycle_series, song_list, top_comments
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
@@ -125,10 +126,7 @@ def song_details(w: Warehouse) -> DataFrame:
 
 @query("dq_orphan_keys")
 def orphan_keys(w: Warehouse) -> DataFrame:
-    """Rows and keys without a match, per foreign key.
-
-    Facts are counted per key first, so a key that holds most rows is one row in the anti join.
-    """
+    """Rows and keys without a match, per foreign key."""
     part, customer, orders = w.table("part"), w.table("customer"), w.table("orders")
     checks = [
         ("comment.song_id", w.comment, "song_id", part, "p_partkey"),
@@ -139,14 +137,4 @@ def orphan_keys(w: Warehouse) -> DataFrame:
         ("lineitem.l_orderkey", w.table("lineitem"), "l_orderkey", orders, "o_orderkey"),
         ("lineitem.l_partkey", w.table("lineitem"), "l_partkey", part, "p_partkey"),
     ]
-
-    def check(name: str, facts: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
-        keys = facts.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        lost = keys.join(dim.select(F.col(dim_key).alias("k")), "k", "left_anti")
-        return lost.agg(
-            F.lit(name).alias("foreign_key"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
-        )
-
-    return reduce(DataFrame.unionByName, [check(*c) for c in checks])
+    return reduce(DataFrame.unionByName, [orphans(*c) for c in checks])

@@ -45,10 +45,13 @@ def heat_ranking(ranked: DataFrame, song: DataFrame, *, top: int = 10) -> DataFr
 
 
 def recent_daily(w: Warehouse, days: int = 7) -> DataFrame:
-    """Song-days of the last days; comments are cut to them before anything is aggregated."""
+    """Song-days of the last days; comments are cut to them before anything is aggregated.
+
+    Unknown songs are taken out of the song-days by an inner join; a semi join would be pushed
+    down to the comments, where a hot song is a hot key.
+    """
     comment = w.comment.filter(since(F.col("comment_time"), w.comment_day, days))
-    known = daily.song_daily(comment).join(w.song.select("song_id"), "song_id", "left_semi")
-    return known
+    return daily.song_daily(comment).join(w.song.select("song_id"), "song_id")
 
 
 @query("sq1_daily_heat_rank")

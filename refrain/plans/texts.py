@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.operators import clean, keywords, nearcopies
+from refrain.operators import clean, keywords, nearcopies, survivors
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
-from refrain.session import cut_lineage
 from refrain.sources.model import document_sentiment
 
 
@@ -34,7 +33,7 @@ def spam(w: Warehouse) -> DataFrame:
 
 @query("dedup_exact")
 def exact(w: Warehouse) -> DataFrame:
-    return clean.exact_groups(w.texts)
+    return clean.exact_groups(clean.digests(w.texts))
 
 
 @query("dedup_simhash")
@@ -55,45 +54,7 @@ def near_pairs(w: Warehouse) -> DataFrame:
 @query("clean_report")
 def report(w: Warehouse) -> DataFrame:
     """Rows in and out of every cleaning step: the rules, exact copies, near copies."""
-    documents = w.texts
-    checked = documents.select("doc_id", "text", clean.first_failure(F.col("text")).alias("failed"))
-    names = clean.rule_names()
-    rules = checked.agg(
-        F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("failed") == n).alias(n) for n in names]
-    )
-    rule_rows = rules.select(
-        "total",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).cast("long").alias("step_no"), F.lit(n).alias("step"), F.col(n).alias("removed"))
-                    for i, n in enumerate(names, 1)
-                ]
-            )
-        ),
-    )
-    total = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
-    valid = checked.filter(F.col("failed").isNull()).select("doc_id", "text")
-    exact = cut_lineage(clean.exact_groups(valid))
-    exact_removed = exact.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("removed"))
-    # Signatures are joined with the kept ids, so no text is shuffled.
-    signed = nearcopies.signatures(valid).join(exact.select("doc_id"), "doc_id", "left_semi")
-    groups = nearcopies.near_groups(signed)
-    near_removed = groups.agg(F.count_if(F.col("doc_id") != F.col("keep_id")).alias("removed"))
-
-    def step(number: int, name: str, frame: DataFrame) -> DataFrame:
-        return frame.select(
-            total.alias("total"),
-            F.lit(number).cast("long").alias("step_no"),
-            F.lit(name).alias("step"),
-            "removed",
-        )
-
-    after = len(names)
-    steps = rule_rows.unionByName(step(after + 1, "exact_copy", exact_removed)).unionByName(
-        step(after + 2, "near_copy", near_removed)
-    )
-    return clean.retention_report(steps)
+    return clean.retention_report(survivors.cleaning_steps(w.texts))
 
 
 @query("tx_tokenize")

@@ -52,7 +52,7 @@ def test_blacklist_table_equals_list(spark):
 def test_exact_copies_ignore_case_and_spaces(spark):
     texts = ["One two", "one  two ", "ONE\nTWO", "one two three", ""]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    groups = sorted((r.doc_id, r.copies) for r in clean.exact_groups(frame).collect())
+    groups = sorted((r.doc_id, r.copies) for r in clean.exact_groups(clean.digests(frame)).collect())
     assert groups == [(0, 3), (3, 1), (4, 1)]
     assert sorted(r.doc_id for r in clean.later_copies(frame).collect()) == [1, 2]
     assert sorted(r.doc_id for r in clean.keep_first(frame).collect()) == [0, 3, 4]

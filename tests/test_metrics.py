@@ -222,6 +222,17 @@ def test_portrait_without_sentiment_and_ties_in_periods(spark):
     assert out[8].sentiment_type == L.USER_POSITIVE
 
 
+def test_orphan_keys(spark):
+    from refrain.operators.quality import orphans
+
+    comment = spark.createDataFrame([(1, 1), (2, 9), (3, 9), (4, 8), (5, None)], "comment_id long, song_id long")
+    songs = spark.createDataFrame([(1,), (1,), (2,)], "song_id long")
+    row = orphans("comment.song_id", comment, "song_id", songs, "song_id").first()
+    assert (row.orphan_keys, row.orphan_rows) == (2, 3)
+    row = orphans("comment.song_id", comment.filter("song_id = 1"), "song_id", songs, "song_id").first()
+    assert (row.orphan_keys, row.orphan_rows) == (0, 0)
+
+
 def test_invariants(spark):
     from refrain.plans.warehouse import Warehouse
 
