@@ -20,6 +20,7 @@ def local_session(app: str, cpus: str = "8", partitions: str = "8", **extra: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC -XX:ReservedCodeCacheSize=512m")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)
