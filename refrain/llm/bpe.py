@@ -32,9 +32,9 @@ import regex
 from tokenizers.pre_tokenizers import ByteLevel
 
 SPACE, LETTER, NUMBER, OTHER = 3, 1, 2, 0
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 19
 LONG_WORD = 64
-CACHED_WORDS = 250_000
+CACHED_WORDS = 150_000
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1
 NO_RULE = 1 << 62

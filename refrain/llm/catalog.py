@@ -1,7 +1,7 @@
 """All queries and comparison SQL of this package."""
 
-from refrain.llm import encoding
+from refrain.llm import encoding, mixing, quality, secrets, urls
 
-_MODULES = [encoding]
+_MODULES = [encoding, mixing, urls, secrets, quality]
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

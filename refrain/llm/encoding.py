@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from refrain.llm.bpe import Decoder, MergeTable, TextEncoder
 from refrain.sources.tables import read_table
 
+ROWS = 256
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -49,31 +51,58 @@ def rows_of(column: pa.ListArray) -> Iterator[np.ndarray | None]:
         yield values[ends[i] : ends[i + 1]] if valid else None
 
 
-def encode(text: Column, tokenizer: str = TOKENIZER) -> Column:
-    """Token ids (array<int>) of a text column; a null text counts as empty.
+def mapped(df: DataFrame, outs: dict[str, str], fn: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+    """``df`` with columns computed by ``fn`` from slices of its Arrow batches.
+
+    Columns of the same names are replaced. Slices of ``ROWS`` rows keep what a task holds small,
+    however large the batches are that Spark hands over.
+    """
+    kept = [c for c in df.columns if c not in outs]
+    schema = StructType([df.schema[c] for c in kept])
+    for name, kind in outs.items():
+        schema = schema.add(name, kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                made = fn(part)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *made], names=[*kept, *outs])
+
+    return df.mapInArrow(run, schema)
+
+
+def encode(df: DataFrame, text: str = "text", out: str = "ids", tokenizer: str = TOKENIZER) -> DataFrame:
+    """Add the token ids (array<int>) of a text column; a null text counts as empty.
 
     ``tokenizer`` names a byte-level BPE file that every executor can read. Any text gives a
-    result: an empty one no ids, a very long one is encoded in pieces of about two million
+    result: an empty one no ids, a very long one is encoded in pieces of about half a million
     characters, and words beyond 64 characters pass the bounded-lookahead transducer.
     """
 
-    @F.arrow_udf("array<int>")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield lists_of(list(_encoder(tokenizer).encode(t or "" for t in texts_of(batch))))
+    def ids(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [lists_of(list(_encoder(tokenizer).encode(t or "" for t in batch.column(text).to_pylist())))]
 
-    return run(text)
+    return mapped(df, {out: "array<int>"}, ids)
 
 
-def decode(ids: Column, tokenizer: str = TOKENIZER) -> Column:
-    """The text of a column of token ids; null ids give null."""
+def decode(df: DataFrame, ids: str = "ids", out: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
+    """Add the text of a column of token ids; null ids give null."""
 
-    @F.arrow_udf("string")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([_decoded(row, tokenizer) for row in rows_of(batch)], pa.string())
+    def texts(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([_decoded(row, tokenizer) for row in rows_of(batch.column(ids))], pa.string())]
+
+    return mapped(df, {out: "string"}, texts)
+
+
+def round_trip(df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:
+    """Add the ids of a text and the text decoded from them, in one pass over the rows."""
+
+    def both(batch: pa.RecordBatch) -> list[pa.Array]:
+        rows = list(_encoder(tokenizer).encode(t or "" for t in batch.column(text).to_pylist()))
+        return [lists_of(rows), pa.array([_decoded(row, tokenizer) for row in rows], pa.string())]
 
-    return run(ids)
+    return mapped(df, {ids: "array<int>", decoded: "string"}, both)
 
 
 def _decoded(ids: np.ndarray | None, tokenizer: str) -> str | None:
@@ -86,8 +115,7 @@ def _decoded(ids: np.ndarray | None, tokenizer: str) -> str | None:
 
 def encoded_digests(spark: SparkSession, root: str) -> DataFrame:
     """Per document: number of ids, digest of the ids, digest of the text decoded from them."""
-    docs = read_table(spark, root, "documents").select("doc_id", encode(F.col("text")).alias("ids"))
-    return docs.select("doc_id", "ids", decode(F.col("ids")).alias("decoded")).select(
+    return round_trip(read_table(spark, root, "documents").select("doc_id", "text")).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
