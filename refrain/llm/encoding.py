@@ -10,7 +10,6 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from refrain.llm.bpe import Decoder, MergeTable, TextEncoder
 from refrain.sources.tables import read_table
@@ -58,9 +57,7 @@ def mapped(df: DataFrame, outs: dict[str, str], fn: Callable[[pa.RecordBatch], l
     however large the batches are that Spark hands over.
     """
     kept = [c for c in df.columns if c not in outs]
-    schema = StructType([df.schema[c] for c in kept])
-    for name, kind in outs.items():
-        schema = schema.add(name, kind)
+    schema = df.select(*kept, *[F.lit(None).cast(kind).alias(name) for name, kind in outs.items()]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
