@@ -1,7 +1,7 @@
 """All queries and comparison SQL of this package."""
 
-from refrain.llm import encoding, mixing, quality, secrets, token_files, urls
+from refrain.llm import encoding, imatch, language, mixing, quality, secrets, token_files, urls
 
-_MODULES = [encoding, mixing, urls, token_files, secrets, quality]
+_MODULES = [encoding, mixing, imatch, language, urls, token_files, secrets, quality]
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}

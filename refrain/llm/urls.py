@@ -87,9 +87,12 @@ class UrlModel:
         """Train on (url, blocked 0/1), a small table. With one label only, that label always wins."""
         host, path = split_url(F.col("url"))
         rows = labelled.select(F.col("blocked").cast("double").alias("label"), host.alias("host"), path.alias("path"))
-        rows = rows.select("label", gram_buckets(F.col("host"), F.col("path"), buckets).alias("on"))
-        dense = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.array_contains(F.col("on"), i).cast("double"))
-        rows = rows.select("label", array_to_vector(dense).alias("features"))
+        # the buckets are bound to a lambda variable, so they are computed once for each row
+        dense = F.transform(
+            F.array(gram_buckets(F.col("host"), F.col("path"), buckets)),
+            lambda on: F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.array_contains(on, i).cast("double")),
+        )
+        rows = rows.select("label", array_to_vector(F.get(dense, F.lit(0))).alias("features"))
         low, high = rows.agg(F.min("label"), F.max("label")).first()
         if low is None or low == high:
             return cls([0.0] * buckets, 20.0 if low else -20.0)
