@@ -184,8 +184,9 @@ def extract(docs: DataFrame, text: str = "text", carry: list[str] | None = None)
     """
     own = [c for c in carry or docs.columns if c not in (*KINDS, CONTEXT)]
     path = scratch_path(docs.sparkSession, "pii")
-    found_in(docs, text).select(*own, *[f"__{k}" for k in KINDS], "__seen").withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
-    rows = docs.sparkSession.read.parquet(path)
+    located_rows = found_in(docs, text).select(*own, *[f"__{k}" for k in KINDS], "__seen").withColumn("__row", F.monotonically_increasing_id())
+    located_rows.write.parquet(path)
+    rows = docs.sparkSession.read.schema(located_rows.schema).parquet(path)
     seen = rows.select("__row", F.explode("__seen").alias("s")).select("__row", "s.*")
     edges = cut_lineage(seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")))
     totals = pattern_totals(docs, edges.filter("seed").select("pattern").distinct(), text)

@@ -114,8 +114,13 @@ def judge(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> D
 
 
 def keep_good(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows that pass, with their own columns only."""
-    return judge(df, text, rules).filter("__q_kept").select(*df.columns)
+    """The rows that pass, with their own columns only.
+
+    The row number in the condition keeps the optimizer from moving the filter below the
+    projections, where the steps of the measures would be written out in one another and repeated.
+    """
+    judged = judge(df, text, rules).withColumn("__q_row", F.monotonically_increasing_id())
+    return judged.filter("__q_kept and __q_row >= 0").select(*df.columns)
 
 
 def quality_report(spark: SparkSession, root: str) -> DataFrame:

@@ -85,6 +85,11 @@ def write_tokens(docs: DataFrame, path: str, *, text: str = "text", tokenizer: s
     rows.write.options(**FORMAT).parquet(path)
 
 
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of the files; only those that are used are read."""
+    return spark.read.schema("doc_id bigint, part int, row bigint, n_tokens int, ids array<int>").parquet(path)
+
+
 def token_starts(files: DataFrame) -> DataFrame:
     """(doc_id, part, row, n_tokens, start): ids before each document, from the lengths alone."""
     lengths = files.select("doc_id", "part", "row", F.col("n_tokens").cast("long").alias("n_tokens"))
@@ -100,7 +105,7 @@ def token_starts(files: DataFrame) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
     """The ids of a few documents; row groups and pages without them are skipped."""
-    return spark.read.parquet(path).filter(F.col("doc_id").isin(list(doc_ids))).select("doc_id", "ids")
+    return read_files(spark, path).filter(F.col("doc_id").isin(list(doc_ids))).select("doc_id", "ids")
 
 
 def ids_crc32(ids: Column) -> Column:
@@ -118,7 +123,7 @@ def token_file_report(spark: SparkSession, root: str) -> DataFrame:
     """Write the table's tokens in the shared folder, then report from the files."""
     path = scratch_path(spark, "tokens")
     write_tokens(read_table(spark, root, "documents"), path)
-    files = spark.read.parquet(path)
+    files = read_files(spark, path)
     sums = files.select(F.col("part").alias("p"), F.col("row").alias("r"), ids_crc32(F.col("ids")).alias("ids_crc32"))
     starts = token_starts(files)
     joined = starts.join(sums, (starts["part"] == sums["p"]) & (starts["row"] == sums["r"]))
