@@ -108,9 +108,10 @@ class LanguageModel:
         for language in sorted(samples):
             symbols = symbols_of(samples[language], table).tolist()
             moves = suffix_automaton(symbols, size)
-            # a missing step ends the phrase; the next one begins with the same symbol
-            again = np.where(moves[0] < 0, 0, moves[0]) | _NEW
-            steps.append(np.where(moves < 0, again[None, :], moves).ravel())
+            # a missing step ends the phrase; the next one begins with the same symbol, which is a
+            # phrase by itself where the language lacks it: from the added last state any step is new
+            again = np.where(moves[0] < 0, len(moves), moves[0]) | _NEW
+            steps.append(np.vstack([np.where(moves < 0, again[None, :], moves), again[None, :]]).astype(np.int32).ravel())
             bits.append(math.log2(max(2, len(symbols))))
         return cls(sorted(samples), letters, steps, bits)
 
@@ -135,8 +136,8 @@ class LanguageModel:
         active = np.searchsorted(-widths, -np.arange(LANE), "left")  # lanes wider than each column
         result = np.zeros((len(texts), len(self.languages)))
         for k, steps in enumerate(self.steps):
-            state = np.zeros(grid.shape[1], np.int32)
-            phrases = np.ones(grid.shape[1], np.int32)
+            state = np.full(grid.shape[1], len(steps) // size - 1, np.int32)
+            phrases = np.zeros(grid.shape[1], np.int32)
             for i in range(LANE):
                 n = active[i]
                 if n == 0:
