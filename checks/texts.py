@@ -18,7 +18,7 @@ BODY = "trim(regexp_replace(coalesce(text, ''), '[ \\t\\r\\n\\f]+', ' ', 'g'))"
 NORMAL = "trim(regexp_replace(lower(coalesce(text, '')), '[ \\t\\r\\n\\f]+', ' ', 'g'))"
 RULES = {
     "empty": f"{BODY} = ''",
-    "too_short": f"length({BODY}) < 10",
+    "too_short": f"length({BODY}) < 2",
     "link": f"regexp_matches({BODY}, '(?i)(https?://|www\\.|[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{{2,}})')",
     # no back-references here: look for five times any of the characters that occur
     "repeated": "len(list_filter(list_distinct(string_split(coalesce(text, ''), '')), "
@@ -142,8 +142,7 @@ cte(
     "doc_words doc_sentiment",
     """SELECT word, round(ln((p + 1) / (sum(p) OVER () + count(*) OVER ())) - ln((n + 1) / (sum(n) OVER () + count(*) OVER ())), 6) AS weight
 FROM (SELECT word, count(*) FILTER (WHERE sentiment = 'positive') AS p, count(*) FILTER (WHERE sentiment = 'negative') AS n
-      FROM doc_words JOIN doc_sentiment USING (doc_id) WHERE sentiment <> 'neutral' GROUP BY word)
-ORDER BY abs(weight) DESC, word LIMIT 2000""",
+      FROM doc_words JOIN doc_sentiment USING (doc_id) WHERE sentiment <> 'neutral' GROUP BY word)""",
 )
 add(
     "tx_sentiment_lexicon",

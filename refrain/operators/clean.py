@@ -12,25 +12,25 @@ from pyspark.sql import functions as F
 
 from refrain.functions.joins import join_heavy
 from refrain.functions.numbers import percent
-from refrain.operators.tokens import words
+from refrain.operators.tokens import IDEOGRAPH, words
 from refrain.session import cut_lineage
 
 # Terms that mark advertising or leaked credentials.
 BLACKLIST = ["加微信", "刷单", "代刷", "兼职", "casino", "viagra", "token", "password"]
 
-MINIMUM_LENGTH = 10
+MINIMUM_LENGTH = 2  # a word of two ideographs is a comment
 LINK = "(?i)(https?://|www\\.|[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{2,})"
 FIVE_EQUAL = "(.)\\1{4,}"
 LETTER = "\\p{L}"
 SPACES = "[ \\t\\r\\n\\f]+"
 
 
-def spam_rules(text: Column) -> dict[str, Column]:
+def spam_rules(text: Column, minimum_length: int = MINIMUM_LENGTH) -> dict[str, Column]:
     """Named rules in the order in which they are applied."""
     body = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " "))
     return {
         "empty": body == "",
-        "too_short": F.char_length(body) < MINIMUM_LENGTH,
+        "too_short": F.char_length(body) < minimum_length,
         "link": body.rlike(LINK),
         "repeated": F.coalesce(text, F.lit("")).rlike(FIVE_EQUAL),
         "no_letters": ~body.rlike(LETTER),
@@ -39,7 +39,7 @@ def spam_rules(text: Column) -> dict[str, Column]:
 
 def has_term(text: Column, terms: Sequence[str]) -> Column:
     """Any term as a whole word; terms in scripts without spaces match anywhere."""
-    spaced = [t for t in terms if not _ideographic(t)]
+    spaced = [t.lower() for t in terms if not _ideographic(t)]
     hits = [F.coalesce(text.contains(t), F.lit(False)) for t in terms if _ideographic(t)]
     if spaced:
         listed = F.array(*[F.lit(t) for t in spaced])
@@ -57,10 +57,26 @@ def _ideographic(term: str) -> bool:
 def drop_listed(documents: DataFrame, terms: DataFrame) -> DataFrame:
     """Blacklist as a table of any size: anti join against the documents that contain a term.
 
-    Every document contributes each of its words once. ``terms`` has the column word.
+    Every document contributes each of its words once, and each stretch of its text that is as
+    long as some ideographic term and holds an ideograph; which lengths occur is found from the
+    table. So the result is that of ``has_term``. ``terms`` has the column word.
     """
-    found = documents.select("doc_id", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    hit = found.join(terms.select("word").distinct(), "word", "left_semi").select("doc_id").distinct()
+    listed = terms.select("word").filter("word is not null").distinct()
+    joined = F.col("word").rlike(IDEOGRAPH)
+    lengths = listed.filter(joined).agg(F.collect_set(F.char_length("word"))).scalar()  # one number per length
+    text = F.coalesce(F.col("text"), F.lit(""))
+
+    def stretches(length: Column) -> Column:
+        starts = F.when(F.char_length(text) >= length, F.sequence(F.lit(1), F.char_length(text) - length + 1)).otherwise(F.array().cast("array<int>"))
+        return F.filter(F.transform(starts, lambda i: F.substring(text, i, length)), lambda s: s.rlike(IDEOGRAPH))
+
+    whole = F.transform(words(text), lambda w: F.struct(w.alias("word"), F.lit(False).alias("joined")))
+    parts = F.when(text.rlike(IDEOGRAPH), F.flatten(F.transform(F.col("__lengths"), stretches))).otherwise(F.array().cast("array<string>"))
+    inside = F.transform(parts, lambda s: F.struct(s.alias("word"), F.lit(True).alias("joined")))
+    found = documents.withColumn("__lengths", lengths).select("doc_id", F.explode(F.array_distinct(F.concat(whole, inside))).alias("f")).select("doc_id", "f.*")
+    # words are compared in lower case, as they are cut; stretches as they stand
+    wanted = listed.select(F.when(joined, F.col("word")).otherwise(F.lower("word")).alias("word"), joined.alias("joined")).distinct()
+    hit = found.join(wanted, ["word", "joined"], "left_semi").select("doc_id").distinct()
     return documents.join(hit, "doc_id", "left_anti")
 
 

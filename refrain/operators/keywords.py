@@ -52,11 +52,11 @@ def group_keywords(documents: DataFrame, group: str, *, top: int = 20) -> DataFr
     frequency = cut_lineage(
         counts.groupBy("word").agg(F.sum("df").alias("document_count"), F.count(F.lit(1)).alias("groups"))
     )
-    totals = counts.groupBy(group).agg(F.sum("tf").alias("total"))
+    totals = cut_lineage(counts.groupBy(group).agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("words")))
     all_documents = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # a group with a third of all words is a heavy key as well
     scored = (
-        join_heavy(counts, frequency, "word", "groups")
-        .join(totals, group)
+        join_heavy(join_heavy(counts, frequency, "word", "groups"), totals, group, "words")
         .withColumn("__documents", all_documents)
         .withColumn(
             "score",
@@ -89,13 +89,10 @@ def corpus_keywords(documents: DataFrame, *, top: int = 20) -> DataFrame:
     return best.withColumn("keyword_rank", rank.cast("long"))
 
 
-LEXICON_SIZE = 2000
+def sentiment_lexicon(documents: DataFrame, sentiment: DataFrame) -> DataFrame:
+    """(word, weight, occurrences): log odds (add-one smoothing) of every word of the labelled texts.
 
-
-def sentiment_lexicon(documents: DataFrame, sentiment: DataFrame, *, size: int = LEXICON_SIZE) -> DataFrame:
-    """The most polar words of the labelled texts with their log odds (add-one smoothing).
-
-    ``sentiment`` has doc_id, sentiment. The result has at most ``size`` rows by definition.
+    ``sentiment`` has doc_id, sentiment. Words that lean to neither side are listed as well.
     """
     decided = documents.join(
         sentiment.filter(F.col("sentiment").isin(L.POSITIVE, L.NEGATIVE)), "doc_id"
@@ -116,26 +113,21 @@ def sentiment_lexicon(documents: DataFrame, sentiment: DataFrame, *, size: int =
     odds = F.log((F.col("positive") + 1) / (F.col("t.p") + F.col("t.v"))) - F.log(
         (F.col("negative") + 1) / (F.col("t.n") + F.col("t.v"))
     )
-    return (
-        counts.withColumn("t", totals)
-        .select("word", F.round(odds, 6).alias("weight"))
-        .orderBy(F.desc(F.abs("weight")), "word")
-        .limit(size)
-    )
+    occurrences = F.col("positive") + F.col("negative")
+    weighed = counts.withColumn("t", totals).select("word", F.round(odds, 6).alias("weight"), occurrences.alias("occurrences"))
+    return cut_lineage(weighed)
 
 
 def lexicon_score(documents: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Mean weight of the listed words of every text, NULL where none occurs.
 
-    The lexicon has a fixed number of rows, so it is broadcast; a text is read and folded in one
-    task and only its two sums are shuffled. Texts without words keep their row.
+    The lexicon may be of any size: its frequent words are heavy keys of the join, so that a word
+    found in most texts is not gathered in one task. Texts without listed words keep their row.
     """
-    found = documents.select("doc_id", F.explode_outer(segments(F.col("text"))).alias("word")).join(
-        F.broadcast(lexicon), "word", "left"
-    )
-    sums = found.groupBy("doc_id").agg(
-        F.count("weight").alias("matched"), F.sum(micro(F.col("weight"))).alias("__w")
-    )
+    found = documents.select("doc_id", F.explode(segments(F.col("text"))).alias("word"))
+    matched = join_heavy(found, lexicon, "word", "occurrences")
+    sums = matched.groupBy("doc_id").agg(F.count("weight").alias("__n"), F.sum(micro(F.col("weight"))).alias("__w"))
+    joined = documents.select("doc_id").join(sums, "doc_id", "left").withColumn("matched", F.coalesce("__n", F.lit(0).cast("long")))
     score = ratio(F.col("__w"), F.col("matched") * 1_000_000, 6)
     mood = F.when(score > 0, L.POSITIVE).when(score < 0, L.NEGATIVE).otherwise(L.NEUTRAL)
-    return sums.select("doc_id", "matched", score.alias("score"), mood.alias("sentiment"))
+    return joined.select("doc_id", "matched", score.alias("score"), mood.alias("sentiment"))

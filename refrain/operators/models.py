@@ -221,6 +221,9 @@ def clusters(
 # Topics ------------------------------------------------------------------------------------
 
 
+ALL_WORDS = 2**31 - 1
+
+
 @dataclass
 class Topics:
     model: object
@@ -228,17 +231,20 @@ class Topics:
     vocabulary: list[str]
 
 
-def fit_topics(documents: DataFrame, *, k: int = 5, vocabulary: int = 2000, iterations: int = 10) -> Topics:
-    """Online LDA over word counts; the vocabulary is bounded by its parameter."""
+def fit_topics(documents: DataFrame, *, k: int = 5, iterations: int = 10) -> Topics:
+    """LDA over all words of all documents: every pass of the fit reads every text's counts.
+
+    The vocabulary is as large as the corpus has, and so is the model, one number per word and topic.
+    """
     listed = F.array(*[F.lit(w) for w in STOP_WORDS])
     words = F.filter(
         segments(F.col("text")), lambda w: ~F.array_contains(listed, w) & (F.char_length(w) > 1)
     )
     prepared = documents.select("doc_id", "source", words.alias("words"))
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocabulary, minDF=2.0)
+    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=ALL_WORDS, minDF=1.0)
     counted = counter.fit(prepared)
     vectors = cut_lineage(counted.transform(prepared).select("doc_id", "source", "features"))
-    model = LDA(k=k, optimizer="online", maxIter=iterations, seed=SEED).fit(vectors)
+    model = LDA(k=k, optimizer="em", maxIter=iterations, seed=SEED).fit(vectors)
     return Topics(model, vectors, counted.vocabulary)
 
 

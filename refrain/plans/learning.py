@@ -19,11 +19,12 @@ from refrain.plans.warehouse import Warehouse
 from refrain.session import cut_lineage
 from refrain.sources.model import document_sentiment
 
-_kept: dict[tuple[str, str, str], object] = {}
+_kept: dict[tuple, object] = {}
 
 
 def once(w: Warehouse, what: str, build: Callable[[], object]):
-    key = (w.spark.sparkContext.applicationId, w.root, what)
+    """One result for each state of the warehouse; other days, choices or files build anew."""
+    key = (w.spark.sparkContext.applicationId, *w.identity, what)
     if key not in _kept:
         _kept[key] = build()
     return _kept[key]
@@ -49,7 +50,7 @@ def hot_suite(w: Warehouse, horizon: int = 180) -> Suite:
         frame = models.training_frame(data, "song_id", features.ITEM_FEATURES)
         return Suite(frame, features.ITEM_FEATURES)
 
-    return once(w, "hot", build)
+    return once(w, f"hot:{horizon}", build)
 
 
 def churn_suite(w: Warehouse) -> Suite:

@@ -1,6 +1,8 @@
 """Warehouse: the lazily built layers that named queries read.
 
-Every property is a plan, not data: nothing runs until a query is executed. ``as_of`` fixes the
+Properties are built when they are first asked for. Most are plans only; those that need exact
+ranks over all rows, or that several results share, run jobs then and cut their lineage on reliable
+storage. ``as_of`` fixes the
 day to report on; by default it is the last day found in the facts. ``cleaned`` restricts comments
 to those whose text passes the cleaning steps; the named queries use all of them.
 """
@@ -28,6 +30,12 @@ class Warehouse:
         self._as_of = as_of
         self._cleaned = cleaned
 
+    @cached_property
+    def identity(self) -> tuple:
+        """What results depend on: the place, the day, the choice of comments, and the files of the facts."""
+        files = [f for name in ("events", "documents", "orders", "lineitem", "labels") for f in self.table(name).inputFiles()]
+        return (self.root, self._as_of, self._cleaned, tuple(sorted(files)))
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 

@@ -29,6 +29,9 @@ SCHEMAS: dict[str, str] = {
 }
 
 
+SMALL_BYTES = 128 << 20
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read one parquet table below ``root`` with its declared schema."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}.parquet")
@@ -70,10 +73,12 @@ def bound_query(
 
 
 def spread(frame: DataFrame) -> DataFrame:
-    """Give a scan of few input splits one partition per core before work that is heavy per row.
+    """Give a scan of a single file split one partition per core before work that is heavy per row.
 
-    ``frame`` is a scan with projections and filters only. The number of splits is known from the file listing. Large inputs have far more splits than
-    there are cores and pass through unchanged, so nothing is shuffled at scale.
+    ``frame`` is a scan with projections and filters only. Only inputs below ``SMALL_BYTES`` are
+    spread; larger ones are cut by the reader (``spark.sql.files.maxPartitionBytes`` and
+    ``minPartitionNum``), so texts are never shuffled at scale, however many cores there are.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    session = frame.sparkSession
+    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return frame.repartition(session.sparkContext.defaultParallelism) if size < SMALL_BYTES else frame

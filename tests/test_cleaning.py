@@ -21,7 +21,8 @@ def test_rules(spark):
         "": "empty",
         "  \n\t ": "empty",
         None: "empty",
-        "short": "too_short",
+        "short": None,
+        "s": "too_short",
         "look at https://example.org now": "link",
         "write to someone@example.org please": "link",
         "so goooood to hear": "repeated",
@@ -49,6 +50,22 @@ def test_blacklist_table_equals_list(spark):
     assert by_table == by_list == [1, 3, 4]
 
 
+def test_blacklist_table_equals_list_for_ideographs(spark):
+    texts = ["这首歌很好听请加微信联系我", "加微", "微信 加", "可以刷单x", "X加微信", "token加", "加V信", "好听", "", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    listed = ["加微信", "刷单", "加V信", "Token", "casino"]
+    terms = spark.createDataFrame([(t,) for t in [*listed, None, "刷单"]], "word string")
+    by_table = sorted(r.doc_id for r in clean.drop_listed(frame, terms).collect())
+    by_list = sorted(r.doc_id for r in frame.filter(~clean.has_term(F.col("text"), listed)).collect())
+    assert by_table == by_list == [1, 2, 5, 7, 8, 9]
+
+
+def test_short_comments_survive(spark):
+    assert failures(spark, ["好听", "太棒了吧", "nice!", "x"]) == [None, None, None, "too_short"]
+    rules = clean.spam_rules(F.lit("nice!"), minimum_length=10)
+    assert spark.range(1).select(rules["too_short"]).first()[0]
+
+
 def test_exact_copies_ignore_case_and_spaces(spark):
     texts = ["One two", "one  two ", "ONE\nTWO", "one two three", ""]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")

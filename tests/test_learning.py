@@ -1,11 +1,15 @@
 """Models find a planted signal; forecasts and clusters on literal frames."""
 
-import datetime as dt
+import datetime
 import random
 
 import pytest
 
-from refrain.operators import features, models
+from pyspark.sql import functions as F
+
+from refrain.operators import features, keywords, models
+from refrain.plans import learning
+from refrain.plans.warehouse import Warehouse
 
 
 @pytest.fixture(scope="module")
@@ -58,15 +62,15 @@ def test_clusters_are_named_by_their_centres(spark):
 
 
 def test_forecast_continues_a_line_and_skips_short_series(spark):
-    start = dt.date(2024, 1, 1)
-    line = [(1, start + dt.timedelta(days=i), 0.1 + 0.01 * i) for i in range(28)]
-    short = [(2, start + dt.timedelta(days=i), 0.5) for i in range(13)]
-    falling = [(3, start + dt.timedelta(days=i), max(0.0, 0.5 - 0.03 * i)) for i in range(20)]
+    start = datetime.date(2024, 1, 1)
+    line = [(1, start + datetime.timedelta(days=i), 0.1 + 0.01 * i) for i in range(28)]
+    short = [(2, start + datetime.timedelta(days=i), 0.5) for i in range(13)]
+    falling = [(3, start + datetime.timedelta(days=i), max(0.0, 0.5 - 0.03 * i)) for i in range(20)]
     daily = spark.createDataFrame(line + short + falling, "song_id long, dt date, heat_score double")
     out = features.forecast(daily).collect()
     assert {r.song_id for r in out} == {1, 3}
     mine = sorted((r for r in out if r.song_id == 1), key=lambda r: r.forecast_date)
-    assert len(mine) == 30 and mine[0].forecast_date == start + dt.timedelta(days=28)
+    assert len(mine) == 30 and mine[0].forecast_date == start + datetime.timedelta(days=28)
     assert mine[0].heat_score == pytest.approx(0.38) and mine[-1].heat_score == pytest.approx(0.67)
     assert all(0 <= r.heat_score_lower <= r.heat_score <= r.heat_score_upper for r in out)
 
@@ -86,3 +90,21 @@ def test_topics_and_sentiment_model(spark):
     model = models.fit_sentiment(documents, labels)
     mood = {r.doc_id: r.sentiment for r in models.predict_sentiment(model, documents).collect()}
     assert mood[25] == "positive" and mood[125] == "negative"
+
+
+def test_no_word_of_the_lexicon_is_lost(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(300))) for i in range(20)] + [(90, "w0x0 w19x299 unknown"), (91, ""), (92, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    moods = spark.createDataFrame([(i, "positive" if i < 8 else "negative") for i in range(20)], "doc_id long, sentiment string")
+    lexicon = keywords.sentiment_lexicon(documents, moods)
+    assert lexicon.count() == 6000
+    scored = {r.doc_id: (r.matched, r.sentiment) for r in keywords.lexicon_score(documents, lexicon).collect()}
+    assert len(scored) == 23 and all(scored[i] == (300, "positive" if i < 8 else "negative") for i in range(20))
+    assert scored[90][0] == 2 and scored[91] == scored[92] == (0, "neutral")
+
+
+def test_models_of_two_days_differ(spark):
+    root = "/root/testdata/sf0.001"
+    default, earlier = (learning.churn_suite(Warehouse(spark, root, as_of=day)).frame for day in (None, datetime.date(1998, 1, 1)))
+    assert default is learning.churn_suite(Warehouse(spark, root)).frame
+    assert default.agg(F.sum("label")).first() != earlier.agg(F.sum("label")).first()
