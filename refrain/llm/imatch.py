@@ -113,7 +113,7 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     also = F.struct(F.col("__earlier").alias("bucket"), F.lit(1).alias("extra"))
     both = both.withColumn("__to", F.explode(F.when(F.col("__earlier").isNull(), F.array(own)).otherwise(F.array(own, also))))
     sent = both.select("__to.bucket", "__to.extra", "id", "doc_id", "text")
-    return sent.repartition(count, "bucket").sortWithinPartitions("bucket", "extra", "id", F.xxhash64("text"))
+    return sent.repartitionById(count, F.col("bucket")).sortWithinPartitions("bucket", "extra", "id", F.xxhash64("text"))
 
 
 def edited(text: str, following: str) -> str:
