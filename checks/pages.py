@@ -316,7 +316,7 @@ add(
 add("gd_sentiment_shift", "shift", "SELECT * FROM shift")
 add("gd_rising10", "shift", "SELECT * FROM shift ORDER BY change_rate DESC, song_id LIMIT 10")
 add("gd_falling10", "shift", "SELECT * FROM shift ORDER BY change_rate, song_id DESC LIMIT 10")
-add("gd_shift_scatter", "shift", "SELECT song_id, song_name, early_positive_ratio, change_rate, comment_count FROM shift")
+add("gd_shift_scatter", "shift", "SELECT song_id, song_name, early_positive_ratio, recent_positive_ratio, change_rate, comment_count FROM shift")
 add(
     "js_shift_band",
     "shift",

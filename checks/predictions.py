@@ -2,7 +2,7 @@
 
 import math
 
-from checks.sql import cte, exact_mean, min_max, rounded, statement
+from checks.sql import CTES, cte, exact_mean, min_max, rounded, statement
 
 ORACLES: dict[str, str] = {}
 
@@ -200,7 +200,37 @@ add(
 add(
     "gd_forecast_series",
     "forecast song",
-    """SELECT song_id, any_value(song_name) AS song_name, count(*) AS days, min(forecast_date) AS first_date, max(forecast_date) AS last_date,
-       arg_min(heat_score, forecast_date) AS first_heat, arg_max(heat_score, forecast_date) AS last_heat
-FROM forecast JOIN song USING (song_id) GROUP BY song_id""",
+    """SELECT song_id, song_name, count(*) OVER s AS days, min(forecast_date) OVER s AS first_date, max(forecast_date) OVER s AS last_date,
+       forecast_date, heat_score, heat_score_lower, heat_score_upper
+FROM forecast JOIN song USING (song_id) WINDOW s AS (PARTITION BY song_id)""",
+)
+
+
+def _fold(column: str) -> str:
+    return f"CAST(concat('0x', substr(md5(CAST({column} AS VARCHAR)), 1, 8)) AS BIGINT) % 5"
+
+
+add(
+    "ml_churn_frame",
+    "",
+    f"""WITH a AS (SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS d, o_totalprice AS amount,
+             (SELECT CAST(max(o_orderdate) AS DATE) - 90 FROM orders) AS cut FROM orders),
+g AS (SELECT user_id, count(*) FILTER (WHERE d <= cut) AS frequency, CAST(sum(CAST(amount AS DECIMAL(18,2))) FILTER (WHERE d <= cut) AS DOUBLE) AS m,
+       date_diff('day', max(d) FILTER (WHERE d <= cut), any_value(cut)) AS recency_days, date_diff('day', min(d) FILTER (WHERE d <= cut), any_value(cut)) AS tenure_days,
+       count(*) FILTER (WHERE d <= cut AND d > cut - 90) AS recent_90, count(*) FILTER (WHERE d <= cut AND d > cut - 180) AS recent_180,
+       count(*) FILTER (WHERE d <= cut AND d > cut - 365) AS recent_365, count(DISTINCT date_trunc('month', d)) FILTER (WHERE d <= cut) AS active_months,
+       CAST(CASE WHEN count(*) FILTER (WHERE d > cut) = 0 THEN 1 ELSE 0 END AS BIGINT) AS label FROM a GROUP BY user_id)
+SELECT user_id, label, {_fold('user_id')} AS fold, frequency, recency_days, tenure_days, recent_90, recent_180, recent_365, active_months,
+       round(m, 2) AS monetary, round(m / frequency, 6) AS mean_amount FROM g WHERE frequency > 0""",
+)
+_AFTER = {
+    "item_facts_all": ("", CTES["item_facts"][1]),
+    "item_facts": ("item_facts_all", "SELECT * FROM item_facts_all WHERE dt > (SELECT max(dt) FROM item_facts_all) - 180"),
+}
+ORACLES["ml_hot_frame"] = statement(
+    "item_facts_all song hot_label",
+    f"""SELECT b.song_id, coalesce(is_hot, 0) AS label, {_fold('b.song_id')} AS fold
+FROM (SELECT DISTINCT song_id FROM item_facts_all JOIN song USING (song_id) WHERE dt <= (SELECT max(dt) FROM item_facts_all) - 180) b
+LEFT JOIN hot_label USING (song_id)""",
+    _AFTER,
 )

@@ -23,12 +23,6 @@ def _share(sentiment: str) -> Column:
     return F.count_if(F.col("sentiment") == sentiment) / F.count(F.lit(1))
 
 
-def timed_scores(sentiment: DataFrame, comment: DataFrame) -> DataFrame:
-    """Scored comments with their time; comments without one are left out."""
-    moments = comment.filter(F.col("comment_time").isNotNull()).select("comment_id", "comment_time")
-    return sentiment.join(moments, "comment_id")
-
-
 def weekly_movement(timed: DataFrame, song: DataFrame, *, keep: int = 30) -> DataFrame:
     """Shares per Monday week, their velocity and acceleration; the last ``keep`` weeks.
 

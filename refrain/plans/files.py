@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refrain.operators.quality import orphans
@@ -124,6 +124,23 @@ def song_details(w: Warehouse) -> DataFrame:
     )
 
 
+@query("gd_song_details_parts")
+def song_detail_parts(w: Warehouse) -> DataFrame:
+    """The nested records laid out flat: one row for each day, keyword, share and comment."""
+
+    def part(name: str, position: Column, key: Column, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("part"), position.cast("long").alias("position"), key.cast("string").alias("key"), value.cast("double").alias("value"))
+
+    rows = F.concat(
+        F.transform("lifecycle", lambda x, i: part("day", i, x["dt"], x["heat_score"])),
+        F.transform("keywords", lambda x: part("keyword", x["keyword_rank"], x["word"], x["score"])),
+        F.transform("top_comments", lambda x: part("comment", x["position"], F.md5(x["content"]), x["like_count"])),
+        F.filter(F.array(part("positive", F.lit(0), F.lit(""), F.col("sentiment.positive"))), lambda x: x["value"].isNotNull()),
+        F.array(part("song", F.lit(0), F.col("song_name"), F.col("comment_count"))),
+    )
+    return song_details(w).select("song_id", F.inline(rows))
+
+
 @query("dq_orphan_keys")
 def orphan_keys(w: Warehouse) -> DataFrame:
     """Rows and keys without a match, per foreign key."""

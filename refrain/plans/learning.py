@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
 from refrain.operators import features, models, segments
+from refrain.plans.predictions import hot_training
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
 from refrain.session import cut_lineage
@@ -40,13 +41,7 @@ def hot_suite(w: Warehouse, horizon: int = 180) -> Suite:
     """Features up to ``horizon`` days before the last day; label: among the hottest after that."""
 
     def build() -> Suite:
-        cutoff = F.date_sub(w.ship_day, horizon)
-        facts = w.interactions.withColumn("__cutoff", cutoff)
-        before = facts.filter(F.col("dt") <= F.col("__cutoff"))
-        after = facts.filter(F.col("dt") > F.col("__cutoff"))
-        label = features.hot_label(after).select("song_id", F.col("is_hot").alias("label"))
-        data = features.song_features(before, w.song, cutoff).join(label, "song_id", "left")
-        data = data.withColumn("label", F.coalesce("label", F.lit(0).cast("long")))
+        data = hot_training(w, horizon)
         frame = models.training_frame(data, "song_id", features.ITEM_FEATURES)
         return Suite(frame, features.ITEM_FEATURES)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from refrain.operators import sentiment as S
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
+from refrain.sources.model import timed_sentiment
 
 
 @query("tx_song_sentiment")
@@ -23,8 +24,8 @@ def summary(w: Warehouse) -> DataFrame:
 @query("io_latest_row")
 def latest_row(w: Warehouse) -> DataFrame:
     """The most recent summary: one is built per month of activity, the newest is kept."""
-    per_day = w.comment_sentiment.join(w.comment.select("comment_id", "comment_time"), "comment_id")
-    daily = per_day.groupBy(F.to_date("comment_time").alias("update_time")).agg(
+    scored = timed_sentiment(w.comment, w.table("labels"))
+    daily = scored.groupBy(F.to_date("comment_time").alias("update_time")).agg(
         F.count(F.lit(1)).alias("total_comments"),
         F.count_if(F.col("sentiment") == "positive").alias("positive_comments"),
     )
@@ -109,7 +110,7 @@ def falling(w: Warehouse) -> DataFrame:
 
 @query("gd_shift_scatter")
 def scatter(w: Warehouse) -> DataFrame:
-    columns = ["song_id", "song_name", "early_positive_ratio", "change_rate", "comment_count"]
+    columns = ["song_id", "song_name", "early_positive_ratio", "recent_positive_ratio", "change_rate", "comment_count"]
     return shift(w).select(*columns)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from refrain.functions import labels as L
 from refrain.functions.calendar import day_period, since
 from refrain.functions.numbers import mean_of_scores, percent, ratio
+from refrain.operators import daily
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
 
@@ -86,7 +87,8 @@ def trend_counts(w: Warehouse) -> DataFrame:
 
 @query("gd_trend_30d_heat")
 def trend_heat(w: Warehouse) -> DataFrame:
-    recent = w.song_daily.filter(F.col("dt") >= F.date_sub(w.comment_day, 30))
+    # the bounds of the heat are those of the day, so days that are not shown need not be read
+    recent = daily.song_daily(w.comment.filter(since(F.col("comment_time"), w.comment_day, 30)))
     heat = F.sum(F.round(F.col("heat_score") * 1_000_000).cast("long")) / 1_000_000
     return (
         recent.groupBy("dt")

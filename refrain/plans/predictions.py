@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
 from refrain.functions.numbers import ratio
-from refrain.operators import evaluate, features
+from refrain.operators import evaluate, features, models
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
 
@@ -94,19 +94,37 @@ def forecast_songs(w: Warehouse) -> DataFrame:
 
 @query("gd_forecast_series")
 def forecast_series(w: Warehouse) -> DataFrame:
-    """Per item: the days of its forecast, first and last date and the mean heat."""
-    series = w.forecast.groupBy("song_id").agg(
-        F.count(F.lit(1)).alias("days"),
-        F.min("forecast_date").alias("first_date"),
-        F.max("forecast_date").alias("last_date"),
-        F.array_sort(F.collect_list(F.struct("forecast_date", "heat_score"))).alias("points"),
+    """Per item and day: the forecast with its bounds, and the item's first and last date."""
+    dates = w.forecast.groupBy("song_id").agg(
+        F.count(F.lit(1)).alias("days"), F.min("forecast_date").alias("first_date"), F.max("forecast_date").alias("last_date")
     )
-    return series.join(w.song.select("song_id", "song_name"), "song_id").select(
-        "song_id",
-        "song_name",
-        "days",
-        "first_date",
-        "last_date",
-        F.element_at("points", 1)["heat_score"].alias("first_heat"),
-        F.element_at("points", -1)["heat_score"].alias("last_heat"),
+    named = w.forecast.join(dates, "song_id").join(w.song.select("song_id", "song_name"), "song_id")
+    return named.select(
+        "song_id", "song_name", "days", "first_date", "last_date", "forecast_date", "heat_score", "heat_score_lower", "heat_score_upper"
     )
+
+
+def hot_training(w: Warehouse, horizon: int = 180) -> DataFrame:
+    """Features up to ``horizon`` days before the last day; label: among the hottest after that."""
+    cutoff = F.date_sub(w.ship_day, horizon)
+    facts = w.interactions.withColumn("__cutoff", cutoff)
+    before = facts.filter(F.col("dt") <= F.col("__cutoff"))
+    after = facts.filter(F.col("dt") > F.col("__cutoff"))
+    label = features.hot_label(after).select("song_id", F.col("is_hot").alias("label"))
+    data = features.song_features(before, w.song, cutoff).join(label, "song_id", "left")
+    return data.withColumn("label", F.coalesce("label", F.lit(0).cast("long")))
+
+
+@query("ml_churn_frame")
+def churn_frame(w: Warehouse) -> DataFrame:
+    """What the churn models learn from: features up to the cutoff, label after it, fold."""
+    data = features.user_features(w.purchases, w.order_day)
+    rounded = [F.round("monetary", 2).alias("monetary"), F.round("mean_amount", 6).alias("mean_amount")]
+    counted = [F.col(c).cast("long").alias(c) for c in features.USER_FEATURES if c not in ("monetary", "mean_amount")]
+    return data.select("user_id", "label", models.fold_of(F.col("user_id")).cast("long").alias("fold"), *counted, *rounded)
+
+
+@query("ml_hot_frame")
+def hot_frame(w: Warehouse) -> DataFrame:
+    """Label and fold of every song that the hot-song models learn from."""
+    return hot_training(w).select("song_id", "label", models.fold_of(F.col("song_id")).cast("long").alias("fold"))

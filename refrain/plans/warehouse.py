@@ -91,7 +91,8 @@ class Warehouse:
 
     @cached_property
     def timed_scores(self) -> DataFrame:
-        return sentiment.timed_scores(self.comment_sentiment, self.comment)
+        """Scored comments with their time; comments without one are left out."""
+        return model.timed_sentiment(self.comment, self.table("labels")).filter("comment_time is not null")
 
     @cached_property
     def song_sentiment(self) -> DataFrame:

@@ -62,6 +62,11 @@ def document_sentiment(labels: DataFrame) -> DataFrame:
 
 def comment_sentiment(comment: DataFrame, labels: DataFrame) -> DataFrame:
     """Sentiment of every comment whose text is labelled."""
+    return timed_sentiment(comment, labels).drop("comment_time")
+
+
+def timed_sentiment(comment: DataFrame, labels: DataFrame) -> DataFrame:
+    """The same with the comment's time, so that no one has to join the comments again for it."""
     return comment.join(document_sentiment(labels), "doc_id").select(
-        "comment_id", "song_id", "positive_prob", "sentiment"
+        "comment_id", "song_id", "positive_prob", "sentiment", "comment_time"
     )
