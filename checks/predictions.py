@@ -207,7 +207,8 @@ FROM forecast JOIN song USING (song_id) WINDOW s AS (PARTITION BY song_id)""",
 
 
 def _fold(column: str) -> str:
-    return f"CAST(concat('0x', substr(md5(CAST({column} AS VARCHAR)), 1, 8)) AS BIGINT) % 5"
+    part = "CAST(concat('0x', substr(md5(CAST({} AS VARCHAR)), {}, 8)) AS BIGINT) % 5".format
+    return f"CASE WHEN {part(column, 9)} = 0 THEN -1 ELSE {part(column, 1)} END"
 
 
 add(

@@ -43,21 +43,43 @@ def classifier(name: str):
 MODELS = ["LogisticRegression", "RandomForest", "GradientBoosting"]
 
 
+HOLDOUT = -1
+
+
 def fold_of(row_id: Column, folds: int = FOLDS) -> Column:
-    """Fold by digest of the id: the same row is in the same fold on every run and cluster."""
-    digest = F.substring(F.md5(row_id.cast("string").cast("binary")), 1, 8)
-    return (F.conv(digest, 16, 10).cast("long") % folds).cast("int")
+    """Fold by digest of the id, or ``HOLDOUT`` for a fifth of the rows that no fold contains.
+
+    The same row is in the same part on every run and cluster.
+    """
+    digest = F.md5(row_id.cast("string").cast("binary"))
+
+    def part(start: int) -> Column:
+        return F.conv(F.substring(digest, start, 8), 16, 10).cast("long")
+
+    return F.when(part(9) % 5 == 0, HOLDOUT).otherwise(part(1) % folds).cast("int")
+
+
+def feature_vector(features: Sequence[str]) -> Column:
+    return array_to_vector(F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]))
+
+
+def scoring_frame(data: DataFrame, row_id: str, features: Sequence[str]) -> DataFrame:
+    """(row_id, features) of rows whose outcome is not known yet."""
+    return cut_lineage(data.select(F.col(row_id).alias("row_id"), feature_vector(features).alias("features")))
+
+
+def predict(model, frame: DataFrame) -> DataFrame:
+    return model.transform(frame).select("row_id", F.round(vector_to_array("probability")[1], 9).alias("score"))
 
 
 def training_frame(data: DataFrame, row_id: str, features: Sequence[str]) -> DataFrame:
     """(row_id, label, fold, features, weight): missing values as 0, balanced class weights."""
-    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
     rows = cut_lineage(
         data.select(
             F.col(row_id).alias("row_id"),
             F.col("label").cast("double").alias("label"),
             fold_of(F.col(row_id)).alias("fold"),
-            array_to_vector(values).alias("features"),
+            feature_vector(features).alias("features"),
         )
     )
     count, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
@@ -79,17 +101,17 @@ def fit(frame: DataFrame, name: str):
 def out_of_fold(frame: DataFrame, names: Sequence[str]) -> DataFrame:
     """(model_name, row_id, fold, label, score): every row scored by a model that did not see its fold.
 
-    The fits are independent Spark jobs submitted side by side.
+    The holdout is scored by a model of all folds, and no other model sees it. The fits are independent Spark jobs submitted side by side.
     """
 
     def fit_without(name: str, fold: int) -> DataFrame:
-        model = fit(frame.filter(F.col("fold") != fold), name)
+        model = fit(frame.filter((F.col("fold") != fold) & (F.col("fold") != HOLDOUT)), name)
         held_out = score(model, frame.filter(F.col("fold") == fold))
         return held_out.select(F.lit(name).alias("model_name"), "*")
 
     inherit = inheritable_thread_target(frame.sparkSession)
     with ThreadPoolExecutor(max_workers=FOLDS) as pool:
-        jobs = [pool.submit(inherit(fit_without), n, k) for n in names for k in range(FOLDS)]
+        jobs = [pool.submit(inherit(fit_without), n, k) for n in names for k in (*range(FOLDS), HOLDOUT)]
         parts = [job.result() for job in jobs]
     return cut_lineage(reduce(DataFrame.unionByName, parts))
 
@@ -97,18 +119,19 @@ def out_of_fold(frame: DataFrame, names: Sequence[str]) -> DataFrame:
 def quality(unseen: DataFrame) -> DataFrame:
     """One row per model from its out-of-fold scores.
 
-    AUC is the mean over the folds; the first fold is the holdout of the other metrics. All models
-    are evaluated together in grouped passes.
+    AUC is the mean over the folds; the other metrics are those of the holdout, which is in no fold.
+    All models are evaluated together in grouped passes.
     """
     key = ["model_name"]
-    holdout = unseen.filter(F.col("fold") == 0)
+    holdout = unseen.filter(F.col("fold") == HOLDOUT)
+    in_fold = F.when(F.col("fold") != HOLDOUT, F.col("auc"))
     folds = (
         evaluate.auc(unseen, ["model_name", "fold"])
         .groupBy("model_name")
         .agg(
-            F.avg("auc").alias("auc"),
-            F.stddev_pop("auc").alias("auc_std"),
-            F.max(F.when(F.col("fold") == 0, F.col("auc"))).alias("auc_holdout"),
+            F.avg(in_fold).alias("auc"),
+            F.stddev_pop(in_fold).alias("auc_std"),
+            F.max(F.when(F.col("fold") == HOLDOUT, F.col("auc"))).alias("auc_holdout"),
         )
     )
     parts = [

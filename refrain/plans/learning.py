@@ -33,7 +33,10 @@ def once(w: Warehouse, what: str, build: Callable[[], object]):
 
 @dataclass
 class Suite:
+    """Rows with known outcome up to an earlier cutoff, and the rows of the last day to be predicted."""
+
     frame: DataFrame
+    ahead: DataFrame
     features: list[str]
 
 
@@ -43,7 +46,8 @@ def hot_suite(w: Warehouse, horizon: int = 180) -> Suite:
     def build() -> Suite:
         data = hot_training(w, horizon)
         frame = models.training_frame(data, "song_id", features.ITEM_FEATURES)
-        return Suite(frame, features.ITEM_FEATURES)
+        now = features.song_features(w.interactions, w.song, w.ship_day)
+        return Suite(frame, models.scoring_frame(now, "song_id", features.ITEM_FEATURES), features.ITEM_FEATURES)
 
     return once(w, f"hot:{horizon}", build)
 
@@ -52,7 +56,8 @@ def churn_suite(w: Warehouse) -> Suite:
     def build() -> Suite:
         data = features.user_features(w.purchases, w.order_day)
         frame = models.training_frame(data, "user_id", features.USER_FEATURES)
-        return Suite(frame, features.USER_FEATURES)
+        now = features.user_features(w.purchases, w.order_day, horizon=0)
+        return Suite(frame, models.scoring_frame(now, "user_id", features.USER_FEATURES), features.USER_FEATURES)
 
     return once(w, "churn", build)
 
@@ -62,12 +67,13 @@ def suite_of(w: Warehouse, kind: str) -> Suite:
 
 
 def trained(w: Warehouse, kind: str, name: str):
-    """The model fitted on all rows."""
+    """The model fitted on all rows whose outcome is known."""
     return once(w, f"{kind}:{name}", lambda: models.fit(suite_of(w, kind).frame, name))
 
 
 def predictions(w: Warehouse, kind: str, name: str) -> DataFrame:
-    return models.score(trained(w, kind, name), suite_of(w, kind).frame)
+    """What is to come after the last day, from features up to it."""
+    return models.predict(trained(w, kind, name), suite_of(w, kind).ahead)
 
 
 def metrics(w: Warehouse, kind: str) -> DataFrame:
@@ -81,14 +87,14 @@ def metrics(w: Warehouse, kind: str) -> DataFrame:
 
 def hot_predictions(w: Warehouse, name: str) -> DataFrame:
     scored = predictions(w, "hot", name).select(
-        F.col("row_id").alias("song_id"), "label", F.round("score", 6).alias("hot_prob")
+        F.col("row_id").alias("song_id"), F.round("score", 6).alias("hot_prob")
     )
     return features.flag_hot(scored)
 
 
 def churn_predictions(w: Warehouse, name: str) -> DataFrame:
     scored = predictions(w, "churn", name).select(
-        F.col("row_id").alias("user_id"), "label", F.round("score", 6).alias("churn_prob")
+        F.col("row_id").alias("user_id"), F.round("score", 6).alias("churn_prob")
     )
     return segments.churn_risk(scored)
 

@@ -31,7 +31,7 @@ def test_planted_signal(planted):
     for row in rows:
         assert row.auc > 0.85 and row.auc_holdout > 0.8
         assert row.auc_ci_lower <= row.auc_holdout <= row.auc_ci_upper
-        assert row.support_pos + row.support_neg == planted.filter("fold = 0").count()
+        assert row.support_pos + row.support_neg == planted.filter("fold = -1").count()
 
 
 def test_grouped_quality_equals_one_model_alone(planted):
@@ -108,3 +108,13 @@ def test_models_of_two_days_differ(spark):
     default, earlier = (learning.churn_suite(Warehouse(spark, root, as_of=day)).frame for day in (None, datetime.date(1998, 1, 1)))
     assert default is learning.churn_suite(Warehouse(spark, root)).frame
     assert default.agg(F.sum("label")).first() != earlier.agg(F.sum("label")).first()
+
+
+def test_holdout_is_in_no_fold_and_predictions_cover_the_last_day(spark):
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    suite = learning.churn_suite(w)
+    parts = {r.fold: r.n for r in suite.frame.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(parts) == {-1, *range(models.FOLDS)}
+    scored = learning.churn_predictions(w, "LogisticRegression")
+    assert scored.count() == w.purchases.select("user_id").distinct().count() >= suite.frame.count()
+    assert scored.filter("churn_prob < 0 or churn_prob > 1 or churn_prob is null").count() == 0
