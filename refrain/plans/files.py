@@ -12,7 +12,7 @@ from refrain.operators.quality import orphans
 from refrain.plans.pages import lifecycle_series, song_list, top_comments
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
-from refrain.session import scratch_path
+from refrain.session import cut_lineage, remove_path, scratch_path
 from refrain.sources import writers
 from refrain.sources.tables import bound_query
 
@@ -43,10 +43,19 @@ def load_raw(w: Warehouse) -> DataFrame:
     writers.write_layer(writers.load_raw(w.spark, source, schema), target)
     loaded = w.spark.read.schema(f"{schema}, {writers.CORRUPT} string").parquet(target)
     broken = F.col(writers.CORRUPT).isNotNull()
-    return loaded.groupBy(
+    counts = loaded.groupBy(
         F.when(~broken, F.col("event_type")).alias("event_type"),
         broken.cast("int").cast("long").alias("is_corrupt"),
     ).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~broken, F.col("ts"))).alias("with_time"))
+    return _read_and_removed(counts, source, target)
+
+
+def _read_and_removed(result: DataFrame, *paths: str) -> DataFrame:
+    """A small result cut from the files it was read from, which are then deleted."""
+    kept = cut_lineage(result)
+    for path in paths:
+        remove_path(result.sparkSession, path)
+    return kept
 
 
 @query("io_layer_write")
@@ -58,9 +67,10 @@ def layer_write(w: Warehouse) -> DataFrame:
     again = daily.withColumn("__last", w.comment_day).filter(F.col("dt") == F.col("__last")).drop("__last")
     writers.write_layer(again.withColumn("comment_count", F.col("comment_count") + 1), target, "dt")
     written = w.spark.read.schema(daily.schema).parquet(target)
-    return written.groupBy("dt").agg(
+    per_day = written.groupBy("dt").agg(
         F.count(F.lit(1)).alias("songs"), F.sum("comment_count").alias("comments")
     )
+    return _read_and_removed(per_day, target)
 
 
 @query("io_json_export")

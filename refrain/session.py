@@ -18,6 +18,7 @@ def local_session(app: str, cpus: str = "8", partitions: str = "8", **extra: str
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # with their last reader
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC -XX:ReservedCodeCacheSize=512m")
