@@ -23,6 +23,11 @@ def _share(sentiment: str) -> Column:
     return F.count_if(F.col("sentiment") == sentiment) / F.count(F.lit(1))
 
 
+def timed_scores(scored: DataFrame) -> DataFrame:
+    """Scored comments that have a time; the others are left out."""
+    return scored.filter(F.col("comment_time").isNotNull())
+
+
 def weekly_movement(timed: DataFrame, song: DataFrame, *, keep: int = 30) -> DataFrame:
     """Shares per Monday week, their velocity and acceleration; the last ``keep`` weeks.
 

@@ -92,7 +92,7 @@ class Warehouse:
     @cached_property
     def timed_scores(self) -> DataFrame:
         """Scored comments with their time; comments without one are left out."""
-        return model.timed_sentiment(self.comment, self.table("labels")).filter("comment_time is not null")
+        return sentiment.timed_scores(model.timed_sentiment(self.comment, self.table("labels")))
 
     @cached_property
     def song_sentiment(self) -> DataFrame:

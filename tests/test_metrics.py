@@ -151,10 +151,7 @@ FACTS = "song_id long, song_name string, comment_id long, positive_prob double,
 def facts(spark, rows):
     """Scored comments with their time, and the songs they belong to."""
     frame = spark.createDataFrame(rows, FACTS)
-    timed = sentiment.timed_scores(
-        frame.select("comment_id", "song_id", "positive_prob", "sentiment"),
-        frame.select("comment_id", "comment_time"),
-    )
+    timed = sentiment.timed_scores(frame.select("comment_id", "song_id", "positive_prob", "sentiment", "comment_time"))
     return timed, frame.select("song_id", "song_name").distinct()
 
 
