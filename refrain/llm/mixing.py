@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refrain.functions.ordering import number_rows
-from refrain.llm.words import word_count
+from refrain.llm.words import WORD, word_count
 from refrain.session import cut_lineage
 from refrain.sources.tables import read_table
 
@@ -78,13 +78,11 @@ def plan_copies(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, seed: str =
     placed = number_rows(narrow, ["size", F.col("doc_id").isNull(), "doc_id"], ["source"], index="__k")
     joined = placed.join(targets, placed["source"].eqNullSafe(targets["__source"])).drop("__source", "weight")
     divisor = F.greatest(F.col("den").cast("decimal(14,0)") * F.col("source_size").cast("decimal(18,0)"), F.lit(1)).cast("decimal(30,0)")
-    # 30 bits of a digest are the offset as a fraction of 2^30
+    # 28 bits of a digest are the offset as a fraction of 2^28
     digest = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))), 1, 7), 16, 10).cast("decimal(10,0)")
-    offset = F.floor(divisor * digest / F.lit(1 << 28)).cast("decimal(31,0)")
-
+    joined = joined.withColumns({"__divisor": divisor, "__digest": digest})
     # whole numbers reached before and after a document, over the divisor
-    reached = {"__divisor": divisor, "__offset": offset}
-    joined = joined.withColumns(reached).withColumns(
+    joined = joined.withColumn("__offset", F.expr(f"(__divisor * __digest) div {1 << 28}").cast("decimal(20,0)")).withColumns(
         {name: F.col("num").cast("decimal(24,0)") * k.cast("decimal(13,0)") + F.col("__offset") for name, k in (("__before", F.col("__k") - 1), ("__after", F.col("__k")))}
     )
     copies = F.expr("__after div __divisor - __before div __divisor")
@@ -121,4 +119,34 @@ def mixture(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {"op3_mix": mixture}
-ORACLES: dict[str, str] = {}
+# Sources by their limit per unit of weight: those before a source in this order stop when it does.
+_SQL = f"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) as size from documents
+), s as (
+  select source, sum(size)::hugeint as source_size from d group by source
+), w as (
+  select *, {list(WEIGHTS)}[((row_number() over (order by source is null, source) - 1) % {len(WEIGHTS)} + 1)::int]::hugeint as weight from s
+), t as (
+  select *, {SHARE[0]} * sum(source_size) over () as whole,
+    coalesce(sum(source_size) over (o rows between unbounded preceding and 1 preceding), 0) as before,
+    sum(weight) over (o rows between current row and unbounded following) as open_weight
+  from w window o as (order by source_size::double / weight, source is null, source)
+), c as (
+  select *, weight * (whole - {SHARE[1] * MOST} * before) >= {MOST * SHARE[1]} * source_size * open_weight as stops from t
+), l as (
+  select *, whole - {SHARE[1] * MOST} * coalesce(sum(source_size) filter (stops) over (), 0) as rest, coalesce(sum(weight) filter (not stops) over (), 1) as free from c
+), n as (
+  select source, source_size, (case when stops then {MOST} * source_size else weight * rest end)::hugeint as num, (case when stops then 1 else {SHARE[1]} * free end)::hugeint as den from l
+), k as (
+  select d.*, source_size, num, den, greatest(den * source_size, 1)::hugeint as divisor, ('0x' || substr(md5('{SEED}:' || coalesce(d.source, '')), 1, 7))::hugeint as digest,
+    row_number() over (partition by d.source order by size, doc_id nulls last) as k
+  from d join n on d.source is not distinct from n.source
+), p as (
+  select *, (divisor * digest) // {1 << 28} as off from k
+), q as (
+  select *, case when source_size > 0 then (num * k + off) // divisor - (num * (k - 1) + off) // divisor else 0 end as copies from p
+)
+select doc_id, size::bigint as size, source_size::bigint as source_size, num::double / den::double as target, (copies * size)::bigint as taken, copies::bigint as copies from q"""
+
+ORACLES: dict[str, str] = {"op3_mix": _SQL}
