@@ -23,12 +23,12 @@ def table_scan(w: Warehouse) -> DataFrame:
     text = """
         SELECT o_orderpriority AS priority, count(*) AS orders,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
-        FROM refrain_orders
+        FROM {orders}
         WHERE o_orderstatus = :status AND o_orderdate >= CAST(:since AS TIMESTAMP_NTZ)
         GROUP BY o_orderpriority
     """
     args = {"status": "F", "since": dt.date(1997, 1, 1)}
-    return bound_query(w.spark, text, args, {"refrain_orders": w.table("orders")})
+    return bound_query(w.spark, text, args, {"orders": w.table("orders")})
 
 
 @query("io_load_raw")

@@ -66,10 +66,12 @@ def read_database(
 def bound_query(
     spark: SparkSession, text: str, args: Mapping[str, Any], tables: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Run one SQL text with named parameters over the given frames; values are never spliced in."""
-    for name, frame in tables.items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(text, args=dict(args))
+    """Run one SQL text with named parameters over the given frames; values are never spliced in.
+
+    The text names a frame as ``{name}``. The frames belong to this call alone, so queries that run
+    side by side cannot replace each other's tables.
+    """
+    return spark.sql(text, args=dict(args), **tables)
 
 
 def spread(frame: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def test_undecodable_bytes_are_ignored(spark):
 
 def test_parameters_are_bound_not_spliced(spark):
     frame = spark.createDataFrame([(1, "x' OR '1'='1")], "id long, s string")
-    rows = bound_query(spark, "SELECT id FROM t WHERE s = :s", {"s": "x' OR '1'='1"}, {"t": frame}).collect()
+    rows = bound_query(spark, "SELECT id FROM {t} WHERE s = :s", {"s": "x' OR '1'='1"}, {"t": frame}).collect()
     assert [r.id for r in rows] == [1]
 
 
