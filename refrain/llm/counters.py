@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from refrain.llm.encoding import texts_of
 
@@ -22,6 +23,8 @@ SLICES = 64
 _WIDTH = BUCKETS // SLICES
 _ROWS = -1  # the slice that holds the number of rows
 BLOCKS = "slice int, block binary"
+MARKS = 1 << 20
+_SEEN = 1 << 16  # digests of texts that a task remembers
 
 
 def bucket_of(hashes: np.ndarray) -> np.ndarray:
@@ -69,12 +72,51 @@ def add_up(blocks: DataFrame) -> tuple[np.ndarray, int]:
 
 def count_documents(docs: DataFrame, text: str, items: Callable[[str], np.ndarray]) -> tuple[np.ndarray, int]:
     """Counters of the distinct items of all texts (null: none), and the number of rows."""
+    return add_up(docs.select(text).mapInArrow(_counting(items), BLOCKS))
+
+
+def _counting(items: Callable[[str], np.ndarray], place: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts the texts of a column; of rows in a row that agree in the columns before it only the first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts()
+        counts, last = Counts(), None
         for batch in batches:
-            for body in texts_of(batch.column(0)):
-                counts.add(items(body or ""))
+            keys = zip(*(batch.column(i).to_pylist() for i in range(place)), strict=True) if place else [None] * batch.num_rows
+            for key, body in zip(keys, texts_of(batch.column(place)), strict=True):
+                if not place or key != last:
+                    counts.add(items(body or ""))
+                last = key
         yield pa.RecordBatch.from_arrays([*counts.blocks()], names=["slice", "block"])
 
-    return add_up(docs.select(text).mapInArrow(count, BLOCKS))
+    return count
+
+
+def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose digests the task does not remember; it forgets all of them when they are many."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        keep = []
+        for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            keep.append(key not in seen)
+            if len(seen) >= _SEEN:
+                seen.clear()
+            seen.add(key)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def count_texts(docs: DataFrame, text: str, items: Callable[[str], np.ndarray]) -> tuple[np.ndarray, int]:
+    """As ``count_documents``, but equal texts count once; the number is that of the distinct texts.
+
+    Digests alone are grouped to find the texts that occur again. Only rows that share one of
+    ``MARKS`` marks with such a text are sent to where their copies meet, at most a few for each
+    task and text; all others are counted where they are read.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.xxhash64(body).alias("a"), F.xxhash64(F.lit("text"), body).alias("b"), body.alias("body"))
+    rows = rows.withColumn("mark", F.pmod("a", F.lit(MARKS)).cast("int"))
+    again = rows.groupBy("a", "b", "mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    marks = F.broadcast(again.select("mark").distinct())  # at most MARKS rows
+    alone = rows.join(marks, "mark", "left_anti").select("body").mapInArrow(_counting(items), BLOCKS)
+    copied = rows.join(marks, "mark", "left_semi").select("a", "b", "body").mapInArrow(_first_seen, "a bigint, b bigint, body string")
+    once = copied.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(_counting(items, 2), BLOCKS)
+    return add_up(alone.unionByName(once))

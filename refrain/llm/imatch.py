@@ -11,13 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from refrain.llm.counters import bucket_of, count_documents
+from refrain.llm.counters import bucket_of, count_texts
 from refrain.llm.encoding import mapped
 from refrain.sources.tables import read_table
 
 FAMILIES = 64
 STEPS = 4  # a lexicon holds 2^(-1/4) of the terms of the one before
-BAND = (1e-5, 0.20)  # shares of all documents; a term shares its counter with others, see ``lexicons_of``
+BAND = (1e-5, 0.20)  # shares of all distinct texts; a term shares its counter with others, see ``lexicons_of``
 
 
 def term_hashes(text: str) -> np.ndarray:
@@ -35,7 +35,8 @@ class Lexicons:
     Family j orders all terms at random (a digest under seed j); its lexicons hold the terms below
     a threshold, each a fixed ratio sparser than the one before. A text is fingerprinted under the
     sparsest lexicon of each family that has any of its terms, so that texts of every length meet
-    few terms: the part is the digest of those terms in sorted order.
+    few terms: the part is the digest of those terms in sorted order. A text without a term in the
+    band is fingerprinted by the rarer half of its terms.
     """
 
     def __init__(self, counts: np.ndarray, documents: int, band: tuple[float, float] = BAND, families: int = FAMILIES) -> None:
@@ -46,12 +47,14 @@ class Lexicons:
         self.seeds = rng.integers(1, 1 << 62, families, dtype=np.uint64) | np.uint64(1)
 
     def fingerprint(self, text: str) -> str:
-        """Parts of all families joined by ``.``; empty parts if no term is in the band."""
+        """Parts of all families joined by ``.``; empty parts if the text has no term."""
         terms = term_hashes(text)
-        seen = self.counts[bucket_of(terms)]
-        terms = terms[(seen > self.lowest) & (seen <= self.highest)]
         if not len(terms):
             return "." * (len(self.seeds) - 1)
+        seen = self.counts[bucket_of(terms)]
+        inside = (seen > self.lowest) & (seen <= self.highest)
+        # no term in the band: the rarer half, with all that are as frequent as its last one
+        terms = terms[inside if inside.any() else seen <= np.sort(seen)[(len(seen) - 1) // 2]]
         mixed = terms[None, :] * self.seeds[:, None]
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0x9E3779B97F4A7C15)
@@ -70,13 +73,14 @@ def likeness(a: str, b: str) -> float:
 
 
 def lexicons_of(docs: DataFrame, text: str = "text") -> Lexicons:
-    """Lexicons over all documents of a table. Terms share a counter when their digests' ends agree.
+    """Lexicons over the distinct texts of a table, so that copies do not lift their terms out of the
+    band. Terms share a counter when their digests' ends agree.
 
     The counters are a fixed number, so what reaches the driver and the tasks does not grow; the
     share of documents that strangers add to a term's counter is the mean number of distinct terms
     over the number of counters, whatever the size of the table.
     """
-    counts, documents = count_documents(docs, text, term_hashes)
+    counts, documents = count_texts(docs, text, term_hashes)
     return Lexicons(counts, documents)
 
 

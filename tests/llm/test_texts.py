@@ -6,10 +6,11 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from refrain.llm import imatch, language, pii, secrets
+from refrain.llm import counters, imatch, language, pii, secrets
 
 DOCS = "doc_id bigint, text string, lang string, source string"
 
@@ -56,6 +57,26 @@ def test_imatch_edge_tables(spark):
     assert sorted(r["n_chars"] for r in imatch.compare_neighbours(one, imatch.lexicons_of(one)).collect()) == [0, 4, 4]
 
 
+def test_copies_keep_their_fingerprints(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(3000)]
+    hot, other = " ".join(words[:200]), " ".join(words[200:400])
+    rows = [(i, hot if i % 3 == 0 else other if i % 3 == 1 else " ".join(rng.sample(words, 120))) for i in range(300)]
+    rows += [(300, None), (301, "")] + [(310 + i, f"of the {rng.choice(words)}") for i in range(300)]
+    rows += [(700, "of the"), (701, "the")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    lexicons = imatch.lexicons_of(docs)
+    texts = {t or "" for _, t in rows}
+    want = np.zeros(counters.BUCKETS, np.int64)
+    for t in texts:
+        np.add.at(want, counters.bucket_of(imatch.term_hashes(t)), 1)
+    assert (lexicons.counts == want).all() and lexicons.highest == 0.2 * len(texts)
+    blank = lexicons.fingerprint("")
+    half = lexicons.fingerprint(" ".join(words[:100] + words[1000:1100]))
+    assert 0.1 < imatch.likeness(lexicons.fingerprint(hot), half) < 1 and imatch.likeness(lexicons.fingerprint(hot), lexicons.fingerprint(other)) < 0.1
+    assert blank not in map(lexicons.fingerprint, (hot, other, "of the", "the")) and lexicons.fingerprint("the") == lexicons.fingerprint("The!")
+
+
 # ---- language
 
 
