@@ -18,6 +18,33 @@ STOP_WORDS = tuple(
     "el los las y del se por con para su al lo como más o una es no".split()
 )
 
+# Letters of the languages of STOP_WORDS, and function words of other languages in Latin script.
+# STOP_WORDS says nothing about a text of another language: see ``covered`` in ``measures``.
+LETTERS = "A-Za-zäöüßéèêëàâîïôùûçœæÿñáíóúÄÖÜẞÉÈÊËÀÂÎÏÔÙÛÇŒÆŸÑÁÍÓÚ"
+OTHER_WORDS = tuple(
+    "het een van niet zijn maar ook naar wordt deze "  # Dutch
+    "di che il della dei gli sono nel con alla "  # Italian
+    "os um uma não em ao dos das foi mais "  # Portuguese
+    "och att som är för inte till med har det jag "  # Swedish
+    "og er til ikke på med av af har jeg "  # Danish, Norwegian
+    "ja ei että se oli hän mutta kun ovat myös "  # Finnish
+    "i w na z się nie jest do że to "  # Polish
+    "je se v že si jsem byl nebo jako ale "  # Czech, Slovak, Croatian, Slovene
+    "și nu să pe cu din care mai este sau "  # Romanian
+    "az és hogy nem egy ez volt meg is csak "  # Hungarian
+    "ve bir bu da ne için ile çok gibi ama "  # Turkish
+    "yang dan itu dengan untuk tidak dari dalam adalah ini "  # Indonesian, Malay
+    "ang ng sa mga ay na ko hindi at siya "  # Tagalog
+    "na ya wa kwa ni katika za hii kuwa lakini "  # Swahili
+    "và là của có không những được trong cho người "  # Vietnamese
+    "et non cum sed ad quod ut qui autem enim "  # Latin
+    "eta da ez bat dute zen izan baina dira ere "  # Basque
+    "i els amb però són aquest també dels al va "  # Catalan
+    "die nie en wat het is vir sy hulle ook".split()  # Afrikaans
+)
+OTHER_LETTERS_PERCENT = 2
+OTHER_WORDS_PERCENT = 5
+
 # (name, expression over the measures, lowest, highest value allowed; None leaves a side open)
 Rule = tuple[str, str, float | None, float | None]
 RULES: tuple[Rule, ...] = (
@@ -27,6 +54,7 @@ RULES: tuple[Rule, ...] = (
     ("dup_line_share", "n_dup_lines / n_lines", None, 0.50),
     ("ellipsis_line_share", "n_ellipsis_lines / n_lines", None, 0.50),
 )
+STOP_RULES = ("stop_word_share",)  # only for texts that STOP_WORDS covers
 MINIMUM_WORDS = 50
 REPEAT_PERCENT = 50
 
@@ -35,7 +63,9 @@ def measures(df: DataFrame, text: str = "text", prefix: str = "__q_") -> DataFra
     """Add the counts that rules may use, as columns named ``prefix`` + name.
 
     ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_ellipsis_lines, n_stop_words`` and
-    ``n_repeat_words``. A null text counts as empty, an empty one has zeros. Everything is computed
+    ``n_repeat_words``; ``covered`` is false for a text of another language than those of
+    ``STOP_WORDS``: less than one in a hundred words is among them, and many letters are of other alphabets
+    or many words function words of other languages. A null text counts as empty, an empty one has zeros. Everything is computed
     inside the row; repeated windows are found by sorting their digests with their places, only
     for texts that have any.
     """
@@ -60,15 +90,22 @@ def measures(df: DataFrame, text: str = "text", prefix: str = "__q_") -> DataFra
             n_stop_words=F.size(F.filter(c("words"), lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long"),
             digests=F.transform(c("words"), lambda w: F.xxhash64(w)),
         )
-    ).drop(prefix + "words", prefix + "lines")
+    ).drop(prefix + "lines")
+    others = tuple(w for w in OTHER_WORDS if w not in STOP_WORDS)
+    letters = F.length(F.regexp_replace(body, r"\P{L}+", ""))
+    foreign = F.length(F.regexp_replace(body, rf"[\P{{L}}{LETTERS}]+", ""))
+    spoken = F.size(F.filter(c("words"), lambda w: F.lower(w).isin(*others)))
     step = step.withColumns(
         named(
+            covered=F.when(100 * c("n_stop_words") >= c("n_words"), True)
+            .when(100 * foreign > OTHER_LETTERS_PERCENT * letters, False)
+            .otherwise(100 * spoken < OTHER_WORDS_PERCENT * c("n_words")),
             windows=F.when(
                 c("n_words") >= 3,
                 F.transform(F.sequence(F.lit(0), c("n_words").cast("int") - 3), lambda i: F.xxhash64(F.get(c("digests"), i), F.get(c("digests"), i + 1), F.get(c("digests"), i + 2))),
-            ).otherwise(empty)
+            ).otherwise(empty),
         )
-    ).drop(prefix + "digests")
+    ).drop(prefix + "digests", prefix + "words")
     placed = F.sort_array(F.transform(c("windows"), lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     none = F.array().cast("array<struct<g:bigint,i:int>>")
     step = step.withColumns(named(placed=F.when(F.size(F.array_distinct(c("windows"))) < F.size(c("windows")), placed).otherwise(none))).drop(prefix + "windows")
@@ -86,7 +123,7 @@ def verdict(rules: Sequence[Rule] = RULES, prefix: str = "__q_") -> Column:
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_ellipsis_lines", "n_stop_words", "n_repeat_words")
 
     def inside(rule: Rule) -> Column:
-        _, expression, low, high = rule
+        rule_name, expression, low, high = rule
         for name in names:
             expression = " ".join(prefix + name if part == name else part for part in expression.split(" "))
         numerator, _, divisor = expression.partition(" / ")
@@ -96,6 +133,8 @@ def verdict(rules: Sequence[Rule] = RULES, prefix: str = "__q_") -> Column:
             within &= value >= low
         if high is not None:
             within &= value <= high
+        if rule_name in STOP_RULES:
+            within |= ~F.col(prefix + "covered")
         return F.coalesce(within, F.lit(True))
 
     return reduce(lambda a, b: a & b, map(inside, rules), F.lit(True))

@@ -51,6 +51,28 @@ def test_rules_keep_prose_and_drop_junk(spark):
     assert quality.keep_good(df.limit(0)).count() == 0
 
 
+CLEAN = {
+    "ru": "когда они вернулись домой уже темнело и дети сидели у окна слушая как ветер шумит над старым садом",
+    "el": "όταν γύρισαν στο σπίτι είχε ήδη νυχτώσει και τα παιδιά κάθονταν δίπλα στο παράθυρο ακούγοντας τον άνεμο",
+    "ko": "그들이 집으로 돌아왔을 때는 이미 어두워졌고 아이들은 창가에 앉아 오래된 정원 위로 부는 바람 소리를 듣고 있었다",
+    "ar": "عندما عادوا إلى البيت كان الظلام قد حل وكان الأطفال يجلسون قرب النافذة يستمعون إلى صوت الريح",
+    "hi": "जब वे घर लौटे तब अंधेरा हो चुका था और बच्चे खिड़की के पास बैठे हवा की आवाज़ सुन रहे थे",
+    "pl": "kiedy wrócili do domu było już ciemno, a dzieci siedziały przy oknie słuchając, jak wiatr szumi nad ogrodem",
+    "tr": "eve döndüklerinde hava kararmıştı ve çocuklar pencerenin yanında oturup bahçede esen rüzgârı dinliyordu",
+    "id": "ketika mereka pulang hari sudah gelap dan anak-anak duduk dekat jendela mendengarkan angin yang bertiup",
+    "sw": "waliporudi nyumbani giza lilikuwa limeingia na watoto walikaa karibu ya dirisha wakisikiliza upepo wa bustani",
+}
+
+
+def test_clean_documents_of_other_languages_are_kept(spark):
+    rng = random.Random(14)
+    rows = [(name, " ".join(" ".join(rng.sample(text.split(), len(text.split()))) for _ in range(6))) for name, text in CLEAN.items()]
+    junk = [("caps", " ".join("".join(rng.choice("ERTIWHNAOÉ") for _ in range(6)) + "!!" for _ in range(90))), ("list", " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(90)))]
+    junk += [("symbols", " ".join(w + "%%%" for w in rows[0][1].split())), ("repeated", "когда они вернулись " * 40)]
+    df = spark.createDataFrame(rows + junk, "lang string, text string")
+    assert {r["lang"] for r in quality.keep_good(df).collect()} == set(CLEAN)
+
+
 def test_thresholds_are_a_parameter(spark):
     df = spark.createDataFrame([(1, prose(random.Random(1), 70))], "doc_id bigint, text string")
     assert quality.keep_good(df, rules=()).count() == 1
