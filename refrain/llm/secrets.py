@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -29,17 +30,20 @@ CLASSES: tuple[tuple[str, re.Pattern[str], float], ...] = (
     ("base32", re.compile(r"[A-Z2-7]{20,}"), 3.4),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.6),
 )
-# Never reported by the entropy method: one kind of character only, words joined by signs, places
-# of a path, and values that say themselves that they are examples.
+# Never reported by the entropy method: one kind of character only, words joined by signs, and
+# places of a path. Compared with a whole candidate, or what is left of it, without signs at its ends.
 ALLOWED: tuple[str, ...] = (
     r"[A-Za-z]+",
     r"[0-9]+",
     r"[a-z]+([-_/=+][A-Za-z]+)+[-_/=+]*",
     r"[-_=+/]+",
-    r"(?i).*(example|sample|placeholder|changeme|your[-_]?(key|token)).*",
     r"(?i)(0123456789abcdef)+0?1?2?3?4?5?6?7?8?9?",
-    r".*(.)\1{9,}.*",
 )
+# Left out of a candidate, which is cut there: long repeats, and parts that say that they are examples.
+_REPEAT = re.compile(r"(.)\1{9,}")
+_EXAMPLE = re.compile(r"example|sample|placeholder|changeme|your[-_]?(?:key|token)", re.IGNORECASE)
+_PART = re.compile(r"[^-_=+/]+")
+_SIGNS = "-_=+/"
 
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
 
@@ -89,22 +93,39 @@ class Scanner:
         self.window = window
         self.allowed = [re.compile(p) for p in allowed]
 
+    def _allows(self, string: str) -> bool:
+        bare = string.strip(_SIGNS)
+        return any(p.fullmatch(string) or p.fullmatch(bare) for p in self.allowed)
+
     def entropy_spans(self, text: str, base: Sequence[Span]) -> list[Span]:
-        """Ranges of high entropy outside the known forms, in candidate strings not on the allow-list."""
+        """Ranges of high entropy in candidate strings not on the allow-list, without the known forms.
+
+        Of a range that meets known forms all the rest is reported, but for signs at its ends.
+        """
         found = []
+        forms = _merged([(s, e) for s, _, e in base])
         for candidate in _CANDIDATE.finditer(text):
-            string = candidate[0]
-            if any(p.fullmatch(string) for p in self.allowed):
-                continue
+            cuts = _left_out(candidate[0])
             ranges: list[tuple[int, int]] = []
-            for _, characters, least in CLASSES:
-                for run in characters.finditer(string):
-                    if not any(p.fullmatch(run[0]) for p in self.allowed):
-                        ranges += [(run.start() + s, run.start() + e) for s, e in entropy_windows(run[0], self.window, least)]
+            for begin, end in _outside(0, len(candidate[0]), cuts):
+                string = candidate[0][begin:end]
+                if len(string) < self.window or self._allows(string):
+                    continue
+                begin += candidate.start()
+                for _, characters, least in CLASSES:
+                    for run in characters.finditer(string):
+                        if not self._allows(run[0]):
+                            ranges += [(begin + run.start() + s, begin + run.start() + e) for s, e in entropy_windows(run[0], self.window, least)]
             for start, end in _merged(ranges):
-                start, end = start + candidate.start(), end + candidate.start()
-                if not any(s < end and start < e for s, _, e in base):
+                rest = _outside(start, end, forms)
+                if rest == [(start, end)]:
                     found.append((start, 3, end))
+                    continue
+                for s, e in rest:
+                    s += len(text[s:e]) - len(text[s:e].lstrip(_SIGNS))
+                    e = s + len(text[s:e].rstrip(_SIGNS))
+                    if s < e:
+                        found.append((s, 3, e))
         return found
 
     def spans(self, text: str) -> list[Span]:
@@ -123,6 +144,31 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _left_out(string: str) -> list[tuple[int, int]]:
+    """Long repeats, and the parts that hold the name of an example."""
+    cuts = [m.span() for m in _REPEAT.finditer(string)]
+    names = [m.span() for m in _EXAMPLE.finditer(string)]
+    if names:
+        parts = [m.span() for m in _PART.finditer(string)]
+        starts = [s for s, _ in parts]
+        cuts += [(parts[bisect_right(starts, s) - 1][0], parts[bisect_right(starts, e - 1) - 1][1]) for s, e in names]
+    return _merged(cuts)
+
+
+def _outside(start: int, end: int, spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a range without the given spans, which are in order and apart."""
+    out = []
+    for i in range(max(bisect_right(spans, (start, start)) - 1, 0), len(spans)):
+        s, e = spans[i]
+        if s >= end:
+            break
+        if e > start:
+            if s > start:
+                out.append((start, s))
+            start = e
+    return [*out, (start, end)] if start < end else out
+
+
 def secret_spans(text: Column, window: int = WINDOW, allowed: Sequence[str] = ALLOWED) -> Column:
     """array of (kind, start, stop) of a text column; null and empty texts give an empty array."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
