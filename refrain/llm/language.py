@@ -24,7 +24,7 @@ from refrain.sources.tables import read_table
 SAMPLE_DOCUMENTS = 120  # of each language, chosen by a digest of their ids
 SAMPLE_CHARS = 500  # of each of them, from a place chosen by the digest
 MOST_CHARS = 240_000  # of all languages together; many languages get shorter texts
-ALPHABET = 62  # letters with a symbol of their own; the others share one
+ALPHABET = 62  # letters with a column of their own in the step tables; the steps of others are looked up
 LANE = 256
 NO_LANGUAGE = "und"
 _NEW = 1 << 30
@@ -38,21 +38,22 @@ def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
 
 
 def symbol_table(letters: list[str]) -> np.ndarray:
-    """0 for what is no letter, 1 for letters without a symbol, then the given letters in either case."""
-    table = np.zeros(0x110000, np.uint8)
+    """0 for what is no letter, 1 for letters that are not given, then the given letters in either case."""
+    places = {letter: i + 2 for i, letter in enumerate(letters)}
+    table = np.zeros(0x110000, np.uint8 if len(letters) < 254 else np.uint32)
     for point in range(0x110000):
         char = chr(point)
         if char.isalpha():
-            table[point] = 1
-    for i, letter in enumerate(letters):
-        for char in {letter, letter.upper(), letter.title()}:
-            if len(char) == 1:
-                table[ord(char)] = i + 2
+            table[point] = places.get(char) or places.get(char.lower()[0], 1)
+    for letter, place in places.items():
+        for char in {letter.upper(), letter.title()}:
+            if len(char) == 1 and char not in places:
+                table[ord(char)] = place
     return table
 
 
-def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
-    """Transitions [state, symbol] of the automaton of all substrings; -1 where there is none."""
+def transitions(symbols: list[int]) -> list[dict[int, int]]:
+    """Of each state of the automaton of all substrings, the next state by symbol."""
     follow, link, longest = [{}], [-1], [0]
     last = 0
     for s in symbols:
@@ -78,13 +79,47 @@ def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[here] = copy
         last = here
+    return follow
+
+
+def step_table(follow: list[dict[int, int]], size: int) -> np.ndarray:
+    """Transitions [state, symbol] for the symbols below ``size``; -1 where there is none."""
     table = np.full((len(follow), size), -1, np.int32)
     for state, steps in enumerate(follow):
         for s, to in steps.items():
-            table[state, s] = to
+            if s < size:
+                table[state, s] = to
     return table
 
 
+def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:
+    """Transitions [state, symbol] of the automaton of all substrings; -1 where there is none."""
+    return step_table(transitions(symbols), size)
+
+
+@dataclass
+class RareSteps:
+    """Transitions of the symbols without a column: sorted keys of state and symbol."""
+
+    keys: np.ndarray
+    to: np.ndarray
+    again: np.ndarray  # by symbol: the step where a state has none
+
+    @classmethod
+    def of(cls, follow: list[dict[int, int]], size: int, symbols: int) -> RareSteps:
+        pairs = sorted((state * symbols + s, to) for state, steps in enumerate(follow) for s, to in steps.items() if s >= size)
+        again = np.full(symbols, len(follow) | _NEW, np.int32)
+        for s, to in follow[0].items():
+            again[s] = to | _NEW
+        keys = np.array([k for k, _ in pairs] + [1 << 62], np.int64)
+        return cls(keys, np.array([t for _, t in pairs] + [0], np.int32), again)
+
+    def look_up(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        wanted = states.astype(np.int64) * len(self.again) + symbols
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, self.to[at], self.again[symbols])
+
+
 @dataclass
 class LanguageModel:
     """Automata as step tables, in the order of the languages' names."""
@@ -93,37 +128,45 @@ class LanguageModel:
     letters: list[str]
     steps: list[np.ndarray]
     bits: list[float]  # of a phrase: a place in the language's text, or a new symbol
+    rare: list[RareSteps]
+
+    @property
+    def columns(self) -> int:
+        return min(len(self.letters), ALPHABET) + 2
 
     @classmethod
     def fit(cls, samples: dict[str, str]) -> LanguageModel:
         """From one text for each language."""
         seen: dict[str, int] = {}
         for text in samples.values():
-            for char in text.lower():
+            for char in text:
                 if char.isalpha():
-                    seen[char] = seen.get(char, 0) + 1
-        letters = sorted(seen, key=lambda c: (-seen[c], c))[:ALPHABET]
-        table, size = symbol_table(letters), len(letters) + 2
-        steps, bits = [], []
+                    low = char.lower()[0]
+                    seen[low] = seen.get(low, 0) + 1
+        letters = sorted(seen, key=lambda c: (-seen[c], c))
+        table, size = symbol_table(letters), min(len(letters), ALPHABET) + 2
+        steps, bits, rare = [], [], []
         for language in sorted(samples):
             symbols = symbols_of(samples[language], table).tolist()
-            moves = suffix_automaton(symbols, size)
+            follow = transitions(symbols)
+            moves = step_table(follow, size)
             # a missing step ends the phrase; the next one begins with the same symbol, which is a
             # phrase by itself where the language lacks it: from the added last state any step is new
             again = np.where(moves[0] < 0, len(moves), moves[0]) | _NEW
             steps.append(np.vstack([np.where(moves < 0, again[None, :], moves), again[None, :]]).astype(np.int32).ravel())
             bits.append(math.log2(max(2, len(symbols))))
-        return cls(sorted(samples), letters, steps, bits)
+            rare.append(RareSteps.of(follow, size, len(letters) + 2))
+        return cls(sorted(samples), letters, steps, bits, rare)
 
     def costs(self, texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits per symbol [text, language], and whether each text has any letter."""
-        size = len(self.letters) + 2
+        size = self.columns
         parts = [symbols_of(t, table) for t in texts]
         lengths = np.array([len(p) for p in parts])
         letters = np.array([bool(p.any()) for p in parts], bool)
         lanes = -(-lengths // LANE)
         owner = np.repeat(np.arange(len(texts)), lanes)
-        grid = np.zeros((int(lanes.sum()), LANE), np.uint8)
+        grid = np.zeros((int(lanes.sum()), LANE), table.dtype)
         at = 0
         for p, n in zip(parts, lanes.tolist(), strict=True):
             grid[at : at + n].ravel()[: len(p)] = p  # a view, as the lanes of a text are adjacent
@@ -134,6 +177,7 @@ class LanguageModel:
         order = np.argsort(-widths, kind="stable")  # lanes that end early come last
         grid, widths, owner = np.ascontiguousarray(grid[order].T), widths[order], owner[order]
         active = np.searchsorted(-widths, -np.arange(LANE), "left")  # lanes wider than each column
+        far = [np.flatnonzero(row[:n] >= size) if len(self.letters) > ALPHABET else row[:0] for row, n in zip(grid, active, strict=True)]
         result = np.zeros((len(texts), len(self.languages)))
         for k, steps in enumerate(self.steps):
             state = np.full(grid.shape[1], len(steps) // size - 1, np.int32)
@@ -142,7 +186,11 @@ class LanguageModel:
                 n = active[i]
                 if n == 0:
                     break
-                to = steps[state[:n] * size + grid[i, :n]]
+                if len(far[i]):
+                    to = steps[state[:n] * size + np.minimum(grid[i, :n], size - 1)]
+                    to[far[i]] = self.rare[k].look_up(state[far[i]], grid[i, far[i]])
+                else:
+                    to = steps[state[:n] * size + grid[i, :n]]
                 phrases[:n] += to >> 30
                 state[:n] = to & (_NEW - 1)
             result[:, k] = np.bincount(owner, phrases, len(texts)) * self.bits[k]

@@ -121,6 +121,28 @@ def test_phrases_equal_greedy_parsing():
     assert letters.tolist() == [True, True, True, True, False]
 
 
+def test_letters_of_all_scripts_are_told_apart(monkeypatch):
+    rng = random.Random(15)
+    alphabets = {"el": "αβγδεζηθικλμνξοπρστυφχψως", "ru": "абвгдежзийклмнопрстуфхцчшщыьэюя", "ka": [chr(0x10D0 + i) for i in range(33)], "hy": [chr(0x561 + i) for i in range(38)]}
+    alphabets |= {"zh": [chr(0x4E00 + 7 * i) for i in range(1500)], "ja": [chr(0x4E03 + 7 * i) for i in range(1500)]}
+    words = {name: ["".join(rng.choices(letters, k=4)) for _ in range(400)] for name, letters in alphabets.items()}
+    text = lambda name, n: " ".join(rng.choices(words[name], k=n))
+    samples = {name: text(name, 3000) for name in alphabets}
+    model = language.LanguageModel.fit(samples)
+    table = language.symbol_table(model.letters)
+    assert len(np.unique(table[np.array([ord(c) for c in model.letters])])) == len(model.letters) > 2000
+    assert table[ord("Σ")] == table[ord("σ")] != table[ord("Ж")] == table[ord("ж")] and table[ord("ς")] > 1
+    tests = [(name, text(name, 30)) for name in alphabets for _ in range(5)] + [("ru", text("ru", 30).upper())]
+    assert [p[0] for p in model.predict([t for _, t in tests], table)] == [name for name, _ in tests]
+    bits, _ = model.costs([t for _, t in tests] + ["語日 abc"], table)
+    monkeypatch.setattr(language, "ALPHABET", 1 << 20)  # a column for every letter
+    small = {name: samples[name][:2000] for name in samples}
+    dense = language.LanguageModel.fit(small).costs([t for _, t in tests], language.symbol_table(language.LanguageModel.fit(small).letters))[0]
+    monkeypatch.setattr(language, "ALPHABET", 5)
+    sparse = language.LanguageModel.fit(small).costs([t for _, t in tests], language.symbol_table(language.LanguageModel.fit(small).letters))[0]
+    assert (dense == sparse).all() and np.isfinite(bits).all()
+
+
 def test_language_on_held_out_rows(spark):
     rng = random.Random(4)
     syllables = {"aa": ["ka", "to", "mi", "shi"], "bb": ["str", "ung", "sch", "eit"], "cc": ["eau", "ou", "que", "ré"]}
