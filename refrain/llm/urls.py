@@ -30,8 +30,11 @@ ALLOWED_NAMES = (
     "news", "docs", "wiki", "library", "school", "science", "forum", "recipes", "city", "museum", "garden", "travel", "history", "weather", "music", "theatre",
     "station", "mountain", "render", "thereon", "nation", "lament", "einheit", "rechnung", "vielleicht", "puente", "cantos", "cielo", "enter", "within", "others", "blended",
 )
-BUCKETS = 1024
+# Hosts of either label whose path holds the names.
+NEUTRAL_HOSTS = ("place", "pages", "server", "example", "host", "portal")
+BUCKETS = 1 << 18  # far more than the grams of the table, so that strange grams seldom meet a weight
 GRAM_SIZES = (3, 4)
+DIRECTORIES = 2  # of a longer path that are judged together
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -73,10 +76,16 @@ def gram_buckets(host: Column, path: Column, buckets: int = BUCKETS) -> Column:
     return F.array_distinct(F.concat(*parts))
 
 
+def _numbers(values: Sequence[float], kind: str) -> Column:
+    """A literal array, folded by the optimizer from one string instead of an expression for each number."""
+    return F.split(F.lit(",".join("0" if v == 0 else repr(v) for v in values)), ",").cast(f"array<{kind}>")
+
+
 class UrlModel:
     """Logistic regression over hashed n-grams; ``probability`` is one SQL expression.
 
     The weights are a literal array of fixed length, so scoring is a projection next to the scan.
+    Buckets that no labelled url fills have weight zero and are left out of the training.
     """
 
     def __init__(self, weights: list[float], intercept: float) -> None:
@@ -87,23 +96,43 @@ class UrlModel:
         """Train on (url, blocked 0/1), a small table. With one label only, that label always wins."""
         host, path = split_url(F.col("url"))
         rows = labelled.select(F.col("blocked").cast("double").alias("label"), host.alias("host"), path.alias("path"))
+        filled = rows.select(F.explode(gram_buckets(F.col("host"), F.col("path"), buckets)).alias("bucket")).distinct()
+        used = sorted(r[0] for r in filled.collect())
         # the buckets are bound to a lambda variable, so they are computed once for each row
         dense = F.transform(
             F.array(gram_buckets(F.col("host"), F.col("path"), buckets)),
-            lambda on: F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.array_contains(on, i).cast("double")),
+            lambda on: F.transform(_numbers(used, "int"), lambda i: F.array_contains(on, i).cast("double")),
         )
         rows = rows.select("label", array_to_vector(F.get(dense, F.lit(0))).alias("features"))
         low, high = rows.agg(F.min("label"), F.max("label")).first()
         if low is None or low == high:
             return cls([0.0] * buckets, 20.0 if low else -20.0)
         model = LogisticRegression(maxIter=60, regParam=0.01).fit(rows)
-        return cls([float(x) for x in model.coefficients], float(model.intercept))
+        weights = [0.0] * buckets
+        for bucket, x in zip(used, model.coefficients, strict=True):
+            weights[bucket] = float(x)
+        return cls(weights, float(model.intercept))
 
     def probability(self, host: Column, path: Column) -> Column:
-        """Probability that the url is to be blocked."""
-        weights = F.lit(self.weights)
-        total = F.aggregate(gram_buckets(host, path, len(self.weights)), F.lit(self.intercept), lambda a, b: a + F.get(weights, b))
-        return 1 / (1 + F.exp(-total))
+        """Probability that the url is to be blocked.
+
+        A path of more than ``DIRECTORIES`` directories is judged in
+        overlapping pieces of as many, by the most suspicious
+        one, so that neither chance grams add up nor a name is drowned by what stands beside it.
+        """
+        weights = _numbers(self.weights, "double")
+
+        def score(part: Column) -> Column:
+            return F.aggregate(gram_buckets(host, part, len(self.weights)), F.lit(self.intercept), lambda a, b: a + F.get(weights, b))
+
+        def pieces(parts: Column) -> Column:
+            step = DIRECTORIES // 2
+            starts = F.sequence(F.lit(0), F.greatest(F.size(parts) - 1 - step, F.lit(0)), F.lit(step))
+            return F.transform(starts, lambda i: F.array_join(F.slice(parts, i + 1, F.lit(DIRECTORIES + 1)), "/"))
+
+        long = F.size(F.split(path, "/")) > DIRECTORIES + 1
+        scores = F.transform(F.get(F.transform(F.array(F.split(path, "/")), pieces), F.lit(0)), score)
+        return 1 / (1 + F.exp(-F.when(long, F.array_max(scores)).otherwise(score(path))))
 
 
 def labelled_urls() -> list[tuple[str, int]]:
@@ -113,6 +142,12 @@ def labelled_urls() -> list[tuple[str, int]]:
         for i, (name, prefix, domain) in enumerate(product(names, ("", "www.", "m.", "blog."), ("com", "net", "org"))):
             language, end = ("en", "de", "fr", "es")[i // 3 % 4], ("", "/", "?page=2", "#top", ".html")[i % 5]
             rows.append((f"http{'s' * (i % 2)}://{prefix}{name}.example.{domain}/{language}/{37 * i % 9973}{end}", blocked))
+        # the same names in paths, alone and among innocent directories
+        for i, (name, shape) in enumerate(product(names, ("/{n}", "/{n}/{k}", "/{l}/{n}.html", "/{l}/{k}/{n}/", "/{a}/{n}/{b}/{k}", "/{a}/{b}/{l}/{n}"))):
+            a, b = ALLOWED_NAMES[i % len(ALLOWED_NAMES)], ALLOWED_NAMES[7 * i % len(ALLOWED_NAMES)]
+            path = shape.format(n=name, k=37 * i % 9973, l=("en", "de", "fr", "es")[i // 3 % 4], a=a, b=b)
+            host = NEUTRAL_HOSTS[i // 2 % len(NEUTRAL_HOSTS)]
+            rows.append((f"http{'s' * (i % 2)}://{host}.example.{('com', 'net', 'org')[i % 3]}{path}", blocked))
     return rows
 
 

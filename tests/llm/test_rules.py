@@ -191,6 +191,19 @@ def test_unseen_names_are_judged_by_their_grams(spark):
     assert urls.judge_urls(rows.limit(3), one, rules=()).filter("verdict = 'allow'").count() == 0
 
 
+def test_paths_alone_decide_and_long_paths_do_not_drown_them(spark):
+    model = urls.UrlModel.fit(spark.createDataFrame(urls.labelled_urls(), "url string, blocked int"))
+    rng = random.Random(16)
+    filler = lambda n: "/".join("".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(6)) for _ in range(n))
+    hosts = ("http://mill.org", "https://www.riverside.org", "http://a.place.example.org")
+    bad = [f"{h}/{p}" for h in hosts for p in ("casino-bonus/", "en/cheap-pills/12", "poker-bets.html", "x/adult-video/7")]
+    bad += [f"{h}/{'history/garden/' * 30}casino-bonus/{'travel/weather/' * 30}" for h in hosts]
+    good = [f"{h}/{p}" for h in hosts for p in ("", "en/12", "recipes/4", "de/history/garden/", filler(60), filler(400))]
+    rows = spark.createDataFrame([(u, 1) for u in bad] + [(u, 0) for u in good], "url string, blocked int")
+    judged = urls.judge_urls(rows, model, rules=()).select("url", "blocked", "block_probability").collect()
+    assert not [(r["url"][:60], r["block_probability"]) for r in judged if (r["block_probability"] > 0.5) != r["blocked"]]
+
+
 # ---- pipeline
 
 
