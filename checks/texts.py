@@ -114,6 +114,42 @@ cte(
 WHERE w NOT IN ({strings(STOP_WORDS)})""",
 )
 add("tx_tokenize", "doc_words", "SELECT doc_id, word, count(*) AS tf FROM doc_words GROUP BY 1, 2")
+# The lexicon of the joined phrases: strings of up to six characters, framed by two marks
+cte(
+    "phrase_runs",
+    "",
+    """SELECT replace(trim(regexp_replace(p, '\\s+', ' ', 'g')), ' ', '') AS run
+FROM (SELECT unnest(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}\\s]+')) AS p FROM documents)""",
+)
+cte(
+    "run_strings",
+    "phrase_runs",
+    """SELECT substr(framed, i, k) AS string, k AS length, sum(times) AS n
+FROM (SELECT chr(2) || run || chr(3) AS framed, count(*) AS times FROM phrase_runs WHERE run <> '' GROUP BY run) f,
+     range(1, 7) l(k), LATERAL (SELECT unnest(range(1, length(framed) - k + 2)) AS i) GROUP BY 1, 2""",
+)
+cte(
+    "inner_strings",
+    "run_strings",
+    "SELECT * FROM run_strings WHERE NOT contains(string, chr(2)) AND NOT contains(string, chr(3))",
+)
+_SPREAD = "round(ln(sum(n)) - sum(n * ln(n)) / sum(n), 6)"
+add(
+    "tx_word_lexicon",
+    "inner_strings",
+    f""", candidate AS (SELECT * FROM inner_strings WHERE length BETWEEN 2 AND 5 AND n >= 5),
+cohesion AS (
+  SELECT c.string, round(min(ln(CAST(c.n AS DOUBLE) / a.n) - ln(CAST(b.n AS DOUBLE) / (SELECT sum(n) FROM inner_strings WHERE length = 1))), 6) AS cohesion
+  FROM (SELECT string, n, unnest(range(1, length)) AS k FROM candidate) c
+  JOIN inner_strings a ON a.string = substr(c.string, 1, k) JOIN inner_strings b ON b.string = substr(c.string, k + 1) GROUP BY c.string),
+after AS (SELECT substr(string, 1, length - 1) AS string, {_SPREAD} AS entropy FROM run_strings WHERE length > 2 GROUP BY 1),
+before AS (SELECT substr(string, 2) AS string, {_SPREAD} AS entropy FROM run_strings WHERE length > 2 GROUP BY 1)
+SELECT string AS word, CAST(n AS BIGINT) AS n, cohesion, freedom
+FROM (SELECT c.string, c.n, cohesion, least(a.entropy, b.entropy) AS freedom FROM candidate c
+      JOIN cohesion USING (string) JOIN after a USING (string) JOIN before b USING (string))
+WHERE cohesion >= 1.5 AND freedom >= 1.0
+UNION ALL SELECT string, CAST(n AS BIGINT), NULL, NULL FROM inner_strings WHERE length = 1""",
+)
 cte(
     "song_keywords",
     "doc_words",

@@ -25,7 +25,7 @@ _LOCAL = "__local"
 _LOCAL_BITS = 33  # layout of monotonically_increasing_id: partition number above 33 bits of position
 
 
-def _range_count(spark: SparkSession) -> int:
+def range_count(spark: SparkSession) -> int:
     """Ranges to cut into: the partitions a shuffle starts with on this cluster."""
     initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
@@ -33,7 +33,7 @@ def _range_count(spark: SparkSession) -> int:
 
 def _ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     keys = [*group, *order]
-    ordered = df.repartitionByRange(_range_count(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    ordered = df.repartitionByRange(range_count(df.sparkSession), *keys).sortWithinPartitions(*keys)
     position = F.monotonically_increasing_id()
     ranged = ordered.withColumn(_LOCAL, position).withColumns(
         {

@@ -8,14 +8,32 @@ from pyspark.sql import functions as F
 from refrain.functions import labels as L
 from refrain.functions.joins import join_heavy
 from refrain.functions.numbers import micro, ratio
-from refrain.operators.tokens import is_stop_word, segments
+from refrain.operators.tokens import STOP_WORDS, is_stop_word, segments
 from refrain.session import cut_lineage
 
 
-def word_counts(documents: DataFrame) -> DataFrame:
-    """(doc_id, word, tf) without stop words."""
-    found = documents.select("doc_id", F.explode(segments(F.col("text"))).alias("word"))
-    return found.filter(~is_stop_word(F.col("word"))).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
+def word_counts(documents: DataFrame, words: str = "words") -> DataFrame:
+    """(doc_id, word, tf) of (doc_id, words) without stop words.
+
+    A document is one row, so its words are counted inside the row: sorted, equal ones lie together,
+    and the places where they change give the counts. Nothing is shuffled.
+    """
+    listed = F.array(*[F.lit(w) for w in STOP_WORDS])
+    kept = F.array_sort(F.filter(words, lambda w: ~F.array_contains(listed, w)))
+    starts = documents.select("doc_id", F.transform(F.array(kept), _runs_of_equal)[0].alias("counted"))
+    return starts.select("doc_id", F.inline("counted"))
+
+
+def _runs_of_equal(ordered: Column) -> Column:
+    """array of (word, tf) of a sorted list."""
+    last = F.size(ordered) - 1
+    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    firsts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+
+    def counted(at: Column) -> Column:
+        return F.transform(at, lambda x, i: F.struct(F.get(ordered, x).alias("word"), (F.coalesce(F.get(at, i + 1), F.size(ordered)) - x).cast("long").alias("tf")))
+
+    return F.transform(F.array(firsts), counted)[0]
 
 
 def group_counts(documents: DataFrame, group: list[str]) -> DataFrame:

@@ -15,9 +15,9 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StandardScaler, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
@@ -244,39 +244,67 @@ def clusters(
 # Topics ------------------------------------------------------------------------------------
 
 
-ALL_WORDS = 2**31 - 1
+TOPIC_BUCKETS = 1 << 14
 
 
 @dataclass
 class Topics:
+    """A fitted model over buckets of words, the documents' bucket counts, and (word, bucket, tf)."""
+
     model: object
     vectors: DataFrame
-    vocabulary: list[str]
+    words: DataFrame
+
 
+def word_bucket(word: Column, buckets: int = TOPIC_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
 
-def fit_topics(documents: DataFrame, *, k: int = 5, iterations: int = 10) -> Topics:
-    """LDA over all words of all documents: every pass of the fit reads every text's counts.
 
-    The vocabulary is as large as the corpus has, and so is the model, one number per word and topic.
+def fit_topics(documents: DataFrame, *, k: int = 5, iterations: int = 10, buckets: int = TOPIC_BUCKETS) -> Topics:
+    """LDA over all words of all documents, hashed to a fixed number of buckets.
+
+    No word is left out, and the model holds k numbers per bucket however many words there are.
+    Words that share a bucket share its weight; ``topic_table`` finds the words of a bucket again.
     """
     listed = F.array(*[F.lit(w) for w in STOP_WORDS])
     words = F.filter(
         segments(F.col("text")), lambda w: ~F.array_contains(listed, w) & (F.char_length(w) > 1)
     )
     prepared = documents.select("doc_id", "source", words.alias("words"))
-    counter = CountVectorizer(inputCol="words", outputCol="features", vocabSize=ALL_WORDS, minDF=1.0)
-    counted = counter.fit(prepared)
-    vectors = cut_lineage(counted.transform(prepared).select("doc_id", "source", "features"))
+    counted = prepared.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("tf"))
+    vocabulary = cut_lineage(counted.select("word", word_bucket(F.col("word"), buckets).alias("bucket"), "tf"))
+    # the vocabulary of this counter are the buckets themselves
+    hashed = F.transform("words", lambda w: word_bucket(w, buckets).cast("string"))
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(buckets)], "words", "features")
+    vectors = cut_lineage(counter.transform(prepared.withColumn("words", hashed)).select("doc_id", "source", "features"))
     model = LDA(k=k, optimizer="em", maxIter=iterations, seed=SEED).fit(vectors)
-    return Topics(model, vectors, counted.vocabulary)
+    return Topics(model, vectors, vocabulary)
+
+
+def topic_words(topics: Topics, words: int = 10) -> DataFrame:
+    """(topic, word, weight, place) of the strongest words of each topic.
+
+    A bucket's weight in a topic is divided among its words by their counts. The join is on the
+    bucket, whose side has one row per bucket.
+    """
+    matrix = topics.model.topicsMatrix().toArray()  # buckets by topics
+    shares = matrix / matrix.sum(axis=0)
+    spark = topics.words.sparkSession
+    weights = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(shares)], "bucket int, weights array<double>")
+    held = topics.words.groupBy("bucket").agg(F.sum("tf").alias("all"))
+    buckets = weights.join(held, "bucket")
+    joined = topics.words.join(F.broadcast(buckets), "bucket")  # a fixed number of rows
+    each = joined.select("word", (F.col("tf") / F.col("all")).alias("part"), F.posexplode("weights").alias("topic", "w"))
+    scored = each.select("topic", "word", F.round(F.col("w") * F.col("part"), 9).alias("weight"))
+    best = Window.partitionBy("topic").orderBy(F.desc("weight"), "word")
+    return scored.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= words)
 
 
 def topic_table(topics: Topics, *, words: int = 10) -> DataFrame:
     """Topics with their strongest words, at most k rows."""
-    described = topics.model.describeTopics(words)
-    names = F.array(*[F.lit(w) for w in topics.vocabulary])
-    keywords = F.transform("termIndices", lambda i: F.get(names, i))
-    return described.select(
+    listed = topic_words(topics, words).groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("l"))
+    keywords = F.col("l.word")
+    return listed.select(
         F.col("topic").cast("long").alias("topic_id"),
         F.concat(F.lit(L.TOPIC_PREFIX), (F.col("topic") + 1).cast("string")).alias("topic_name"),
         F.array_join(keywords, ",").alias("keywords"),

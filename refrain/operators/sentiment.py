@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from refrain.functions import labels as L
 from refrain.functions.calendar import monday
 from refrain.functions.ordering import number_rows
+from refrain.session import cut_lineage
 
 
 def sentiment_facts(sentiment: DataFrame, comment: DataFrame, song: DataFrame) -> DataFrame:
@@ -77,35 +78,60 @@ def shift_per_song(
 ) -> DataFrame:
     """Early against recent positive share of every song with at least ``minimum`` comments.
 
-    Positions in time come from range-partitioned numbering, so the comments of a hot song are
-    never sorted in one task; only the early and recent ones go on to the aggregation. Names are
-    joined to the one row per song that is left.
+    Comments are folded to song-days first. Running counts over the days of a song (bounded by the
+    calendar) tell which days are early or recent as a whole, and which one or two the slices cut;
+    only the comments of those days are ranked, in ranges, so a hot song or day is never sorted in
+    one task. Names are joined to the one row per song that is left.
     """
     slim = timed.select(
         "song_id",
+        F.to_date("comment_time").alias("__day"),
         "comment_id",
         "comment_time",
-        F.coalesce(F.col("sentiment") == L.POSITIVE, F.lit(False)).alias("__positive"),
+        F.coalesce(F.col("sentiment") == L.POSITIVE, F.lit(False)).cast("long").alias("__pos"),
         F.coalesce("positive_prob", F.lit(0.0)).alias("__prob"),
     )
-    ordered = number_rows(
-        slim, ["comment_time", "comment_id"], ["song_id"], index="__rn", size="__n"
-    )
+    totals = slim.groupBy("song_id", "__day").agg(F.count(F.lit(1)).alias("__in_day"), F.sum("__pos").alias("__pos"), F.sum("__prob").alias("__prob"))
+    days = Window.partitionBy("song_id").orderBy("__day")
+    counted = totals.withColumns(
+        {
+            "__n": F.sum("__in_day").over(Window.partitionBy("song_id")),
+            "__until": F.sum("__in_day").over(days.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        }
+    ).filter(F.col("__n") >= minimum)
     slice_size = F.greatest(F.lit(1).cast("long"), F.floor(F.col("__n") * F.lit(share)))
-    edges = (
-        ordered.filter(F.col("__n") >= minimum)
-        .withColumns(
-            {
-                "__early": F.col("__rn") <= slice_size,
-                "__recent": F.col("__rn") > F.col("__n") - slice_size,
-            }
-        )
-        .filter("__early or __recent")
+    # comments of the day that belong to a slice: 0 to all of them
+    first = F.greatest(F.lit(0), F.least(F.col("__in_day"), slice_size - (F.col("__until") - F.col("__in_day"))))
+    last = F.greatest(F.lit(0), F.least(F.col("__in_day"), slice_size - (F.col("__n") - F.col("__until"))))
+    cut = cut_lineage(counted.withColumns({"__heads": first, "__tails": last}).filter("__heads > 0 or __tails > 0"))
+    all_early, all_recent = F.col("__heads") == F.col("__in_day"), F.col("__tails") == F.col("__in_day")
+    whole = cut.select(
+        "song_id",
+        F.col("__n"),
+        F.when(all_early, F.col("__heads")).alias("early_n"),
+        F.when(all_early, F.col("__pos")).alias("early_pos"),
+        F.when(all_recent, F.col("__tails")).alias("recent_n"),
+        F.when(all_recent, F.col("__pos")).alias("recent_pos"),
+        F.when(all_recent, F.col("__prob")).alias("recent_prob"),
+    )
+    parted = cut.select(
+        "song_id", "__day", "__n", "__in_day", F.when(all_early, 0).otherwise(F.col("__heads")).alias("__heads"), F.when(all_recent, 0).otherwise(F.col("__tails")).alias("__tails")
+    ).filter("__heads > 0 or __tails > 0")
+    ranked = number_rows(slim.join(parted, ["song_id", "__day"]), ["comment_time", "comment_id"], ["song_id", "__day"], index="__rn")
+    is_early, is_recent = F.col("__rn") <= F.col("__heads"), F.col("__rn") > F.col("__in_day") - F.col("__tails")
+    single = ranked.select(
+        "song_id",
+        F.col("__n"),
+        F.when(is_early, F.lit(1).cast("long")).alias("early_n"),
+        F.when(is_early, F.col("__pos")).alias("early_pos"),
+        F.when(is_recent, F.lit(1).cast("long")).alias("recent_n"),
+        F.when(is_recent, F.col("__pos")).alias("recent_pos"),
+        F.when(is_recent, F.col("__prob")).alias("recent_prob"),
     )
-    grouped = edges.groupBy("song_id").agg(
-        (F.count_if(F.col("__early") & F.col("__positive")) / F.count_if("__early")).alias("early"),
-        (F.count_if(F.col("__recent") & F.col("__positive")) / F.count_if("__recent")).alias("recent"),
-        (F.sum(F.when(F.col("__recent"), F.col("__prob"))) / F.count_if("__recent")).alias("prob"),
+    grouped = whole.unionByName(single).groupBy("song_id").agg(
+        (F.sum("early_pos") / F.sum("early_n")).alias("early"),
+        (F.sum("recent_pos") / F.sum("recent_n")).alias("recent"),
+        (F.sum("recent_prob") / F.sum("recent_n")).alias("prob"),
         F.first("__n").alias("comment_count"),
     )
     change = (F.col("recent") - F.col("early")) * 100

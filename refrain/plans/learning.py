@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
-from refrain.operators import features, models, segments
+from refrain.operators import attribution, features, models, segments
 from refrain.plans.predictions import hot_training
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
@@ -182,11 +182,18 @@ def permutation(w: Warehouse) -> DataFrame:
 
 
 @query("ml_linear_attribution")
-def attribution(w: Warehouse) -> DataFrame:
+def linear_attribution(w: Warehouse) -> DataFrame:
     suite = hot_suite(w)
     return models.linear_attribution(suite.frame, trained(w, "hot", "LogisticRegression"), suite.features)
 
 
+@query("ml_tree_attribution")
+def tree_attribution(w: Warehouse) -> DataFrame:
+    """Exact Shapley values of the forest's predictions for the songs of the last day, per feature."""
+    suite = hot_suite(w)
+    return attribution.mean_attribution(attribution.tree_attribution(suite.ahead, trained(w, "hot", "RandomForest")), suite.features)
+
+
 @query("gd_hot_top10")
 def hot_top10(w: Warehouse) -> DataFrame:
     named = hot_gbt(w).join(w.song.select("song_id", "song_name"), "song_id")
@@ -211,7 +218,8 @@ def hot_predict20(w: Warehouse) -> DataFrame:
 def churn_high10(w: Warehouse) -> DataFrame:
     """The ten users most likely to leave among those at high risk."""
     risky = churn_gbt(w).filter(F.col("risk_level") == L.RISK_LEVELS[2])
-    known = w.churn_label.select("user_id", "recency_days")
+    # as of the last day, like the features that were scored
+    known = features.user_features(w.purchases, w.order_day, horizon=0).select("user_id", "recency_days")
     return (
         risky.join(known, "user_id")
         .select("user_id", "churn_prob", "risk_level", "recency_days")

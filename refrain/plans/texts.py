@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refrain.operators import clean, keywords, nearcopies, survivors
+from refrain.operators import clean, keywords, nearcopies, segmentation, survivors
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
 from refrain.sources.model import document_sentiment
@@ -59,7 +59,20 @@ def report(w: Warehouse) -> DataFrame:
 
 @query("tx_tokenize")
 def tokenize(w: Warehouse) -> DataFrame:
-    return keywords.word_counts(w.texts)
+    """Words of every document; runs of ideographs are cut into words of a lexicon learned from them."""
+    return keywords.word_counts(segmentation.document_words(w.texts, w.word_shares))
+
+
+@query("tx_word_lexicon")
+def word_lexicon(w: Warehouse) -> DataFrame:
+    """The lexicon that the texts would give if they were written without spaces."""
+    return w.joined_lexicon
+
+
+@query("tx_segment_score")
+def segment_score(w: Warehouse) -> DataFrame:
+    """How many of the words' ends are found again when phrases lose their spaces and are cut."""
+    return segmentation.boundary_scores(w.texts, segmentation.weights(w.joined_lexicon))
 
 
 @query("tx_tfidf_song")

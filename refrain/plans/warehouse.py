@@ -15,8 +15,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.operators import daily, features, keywords, segments, sentiment
+from refrain.operators import daily, features, keywords, segmentation, segments, sentiment
 from refrain.operators.survivors import kept_documents
+from refrain.operators.tokens import IDEOGRAPH
 from refrain.sources import model
 from refrain.sources.tables import read_table, spread
 
@@ -69,6 +70,17 @@ class Warehouse:
         """Documents for work that is heavy per text."""
         return spread(self.table("documents").select("doc_id", "source", "text"))
 
+    @cached_property
+    def word_shares(self) -> dict[str, float]:
+        """Weights of the words that the ideographs of the texts make up; empty where there are none."""
+        runs = self.texts.filter(F.col("text").rlike(IDEOGRAPH)).select(F.explode(segmentation.ideograph_runs(F.col("text"))).alias("run"))
+        return segmentation.weights(segmentation.learn(runs)) if runs.limit(1).count() else {}
+
+    @cached_property
+    def joined_lexicon(self) -> DataFrame:
+        runs = self.texts.select(F.explode(segmentation.joined_runs(F.col("text"))).alias("run"))
+        return segmentation.learn(runs)
+
     @cached_property
     def song(self) -> DataFrame:
         return model.songs(self.table("part"))

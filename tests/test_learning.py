@@ -1,13 +1,17 @@
 """Models find a planted signal; forecasts and clusters on literal frames."""
 
 import datetime
+import itertools
+import math
 import random
 
 import pytest
 
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
-from refrain.operators import features, keywords, models
+from refrain.operators import attribution, features, keywords, models
 from refrain.plans import learning
 from refrain.plans.warehouse import Warehouse
 
@@ -92,6 +96,81 @@ def test_topics_and_sentiment_model(spark):
     assert mood[25] == "positive" and mood[125] == "negative"
 
 
+def test_buckets_hold_all_words_and_give_the_topics_of_the_full_fit(spark):
+    rng = random.Random(8)
+    music, food = "melody guitar chorus drum piano".split(), "noodle dumpling pepper soup garlic".split()
+    rows = [(i, "s", " ".join([*(rng.choice(music if i % 2 else food) for _ in range(40)), f"only{i}"])) for i in range(120)]
+    documents = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    wide, narrow = (models.fit_topics(documents, k=2, iterations=50, buckets=n) for n in (1 << 14, 1 << 8))
+    assert wide.words.count() == narrow.words.count() == 130
+    assert narrow.model.vocabSize() == 1 << 8 and wide.model.vocabSize() == 1 << 14
+    prepared = documents.select("doc_id", F.split("text", " ").alias("words"))
+    full = CountVectorizer(inputCol="words", outputCol="features").fit(prepared)
+    described = LDA(k=2, optimizer="em", maxIter=50, seed=models.SEED).fit(full.transform(prepared)).describeTopics(5).collect()
+    want = sorted(sorted(full.vocabulary[i] for i in r.termIndices) for r in described)
+    assert want == sorted([sorted(music), sorted(food)])
+    assert sorted(sorted(r.word for r in group) for group in by_topic(models.topic_words(wide, 5))) == want
+    total = models.topic_words(wide, 1000).groupBy("topic").agg(F.sum("weight").alias("w")).collect()
+    assert all(r.w == pytest.approx(1, abs=0.02) for r in total)  # what is left lies in empty buckets
+
+
+def by_topic(words):
+    found = {}
+    for r in words.collect():
+        found.setdefault(r.topic, []).append(r)
+    return found.values()
+
+
+def brute_shapley(values, leaves):
+    """All subsets of the features, each leaf's expectation with only the subset known."""
+    n = len(values)
+
+    def expected(known):
+        total = 0.0
+        for leaf in leaves:
+            part = leaf.value
+            for j, f in enumerate(leaf.features):
+                part *= float(leaf.low[j] < values[f] <= leaf.high[j]) if f in known else leaf.shares[j]
+            total += part
+        return total
+
+    out = [0.0] * n
+    for i in range(n):
+        others = [j for j in range(n) if j != i]
+        for size in range(n):
+            for subset in itertools.combinations(others, size):
+                weight = math.factorial(size) * math.factorial(n - 1 - size) / math.factorial(n)
+                out[i] += weight * (expected({*subset, i}) - expected(set(subset)))
+    return out
+
+
+def test_tree_attribution_is_the_shapley_value(spark, planted):
+    forest = models.fit(planted, "RandomForest")
+    leaves = attribution.forest_leaves(spark, forest)
+    frame = planted.limit(30)
+    score = {r.row_id: r.score for r in models.predict(forest, frame).collect()}
+    rows = {r.row_id: r.features.toArray() for r in frame.collect()}
+    made = attribution.tree_attribution(frame, forest).collect()
+    assert len(made) == 30
+    for r in made:
+        assert r.base + sum(r.effects) == pytest.approx(score[r.row_id], abs=1e-8)
+        assert r.effects == pytest.approx(brute_shapley(rows[r.row_id], leaves), abs=1e-9)
+    means = {r.feature: r.mean_abs_attribution for r in attribution.mean_attribution(attribution.tree_attribution(planted, forest), ["x", "noise", "gap"]).collect()}
+    assert max(means, key=means.get) == "x"
+
+
+def test_users_at_high_risk_are_those_of_the_last_day(spark, monkeypatch):
+    w = Warehouse(spark, "/root/testdata/sf0.001", as_of=datetime.date(1996, 3, 1))
+    late = features.user_features(w.purchases, w.order_day, horizon=0).cache()
+    recency = {r.user_id: r.recency_days for r in late.collect()}
+    young = {r.user_id for r in late.filter("tenure_days < 30").collect()}
+    assert young
+    risky = late.select("user_id", F.when(F.col("tenure_days") < 30, 0.99).otherwise(0.8).alias("churn_prob"), F.lit("高").alias("risk_level"))
+    monkeypatch.setattr(learning, "churn_gbt", lambda _: risky)
+    out = learning.churn_high10(w).collect()
+    assert all(r.recency_days == recency[r.user_id] for r in out) and {r.user_id for r in out} & young
+
+
 def test_no_word_of_the_lexicon_is_lost(spark):
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(300))) for i in range(20)] + [(90, "w0x0 w19x299 unknown"), (91, ""), (92, None)]
     documents = spark.createDataFrame(rows, "doc_id long, text string")

@@ -120,9 +120,38 @@ def test_auc_without_one_class(spark):
 def test_poisson_weights(spark):
     steps = evaluate.poisson_thresholds()
     assert steps == sorted(steps) and steps[0] == math.floor(math.exp(-1) * 2**32)
-    draws = spark.range(20000).select(evaluate.poisson_weight(evaluate.poisson_draw(F.col("id"), F.lit(1))).alias("w"))
-    row = draws.agg(F.avg("w").alias("m"), F.var_samp("w").alias("v")).first()
-    assert row.m == pytest.approx(1, abs=0.05) and row.v == pytest.approx(1, abs=0.08)
+    drawn = evaluate.poisson_weights([str(i) for i in range(5000)], 4)
+    assert drawn.shape == (5000, 4) and drawn.mean() == pytest.approx(1, abs=0.05) and drawn.var() == pytest.approx(1, abs=0.08)
+    assert (evaluate.poisson_weights(["7"], 9)[0, :4] == drawn[7]).all()
+
+
+def plain_bootstrap(rows, replicates):
+    """AUC of every replicate by comparing all pairs."""
+    out = []
+    weights = evaluate.poisson_weights([str(r[0]) for r in rows], replicates)
+    for b in range(replicates):
+        pos = [(s, w) for (_, label, s), w in zip(rows, weights[:, b]) if label and w]
+        neg = [(s, w) for (_, label, s), w in zip(rows, weights[:, b]) if not label and w]
+        every = sum(w for _, w in pos) * sum(w for _, w in neg)
+        won = sum(w * v * (1 if s > t else 0.5 if s == t else 0) for s, w in pos for t, v in neg)
+        out.append(won / every)
+    return out
+
+
+@pytest.mark.parametrize("scores", [lambda r: round(r.random(), 1), lambda r: r.random(), lambda r: 0.5])
+def test_bootstrap_equals_all_pairs_with_shared_scores(spark, scores):
+    rng = random.Random(3)
+    rows = [(i, int(rng.random() < 0.4), scores(rng)) for i in range(300)]
+    frame = spark.createDataFrame([(g, *r) for g in ("a", "b") for r in rows], "g string, row_id long, label long, score double")
+    want = plain_bootstrap(rows, 20)
+    for row in evaluate.bootstrap_auc(frame, ["g"], replicates=20).collect():
+        assert row.replicates == 20 and row.auc_mean == pytest.approx(sum(want) / 20, abs=1e-6)
+
+
+def test_bootstrap_shuffles_each_row_once(spark):
+    frame = spark.range(1000).select(F.col("id").alias("row_id"), (F.col("id") % 2).alias("label"), F.rand(1).alias("score"))
+    plan = evaluate.bootstrap_segments(frame, [], 100)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan
 
 
 def test_bootstrap_brackets_the_auc(spark):
