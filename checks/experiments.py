@@ -1,5 +1,7 @@
 """Comparison SQL of hypothesis tests and experiments."""
 
+import math
+
 from checks.sql import cte, exact_mean, statement
 
 ORACLES: dict[str, str] = {}
@@ -31,6 +33,28 @@ def p_chi2(x: str, df: str) -> str:
     return p_upper(f"((pow({x} / {df}, 1.0::DOUBLE / 3) - (1 - 2.0::DOUBLE / (9 * {df}))) / sqrt(2.0::DOUBLE / (9 * {df})))")
 
 
+def t_95(df: str) -> str:
+    """Two-sided 5 % point of Student's t by Hill's expansion, step by step over one-element lists."""
+    p, x = 0.05, -1.959964
+    far = "(((((0.4 * x * x + 6.3) * x * x + 36) * x * x + 94.5) / w - x * x - 3) / b + 1) * x".replace("x", f"({x}::DOUBLE)")
+    wide = f"((((0.05 * d * ({x}) - 5) * ({x}) - 7) * ({x}) - 2) * ({x}) + b + c + CASE WHEN n < 5 THEN 0.3 * (n - 4.5) * ({x} + 0.6) ELSE 0 END)"
+    near = "((1 / (((n + 6) / (n * y) - 0.089 * d - 0.822) * (n + 2) * 3) + 0.5 / (n + 4)) * y - 1) * (n + 1) / (n + 2) + 1 / y"
+    steps = [
+        ("n", f"CAST({df} AS DOUBLE)"),
+        ("a", "1 / (n - 0.5::DOUBLE)"),
+        ("b", "48 / (a * a)"),
+        ("c", "((20700 * a / b - 98) * a - 16) * a + 96.36::DOUBLE"),
+        ("d", f"((94.5 / (b + c) - 3) / b + 1) * sqrt(a * {math.pi / 2!r}::DOUBLE) * n"),
+        ("y", f"pow(d * {p}, 2 / n)"),
+        ("w", wide),
+    ]
+    out = f"sqrt(n * CASE WHEN y > 0.05 + a THEN exp(a * ({far}) * ({far})) - 1 ELSE {near} END)"
+    for name, value in reversed(steps):
+        out = f"list_transform([{value}], lambda {name}: {out})[1]"
+    two, one = math.sqrt(2 / (p * (2 - p)) - 2), math.cos(p * math.pi / 2) / math.sin(p * math.pi / 2)
+    return f"(CASE WHEN {df} < 1.5 THEN {one!r}::DOUBLE WHEN {df} = 2 THEN {two!r}::DOUBLE ELSE {out} END)"
+
+
 VERDICT = "CASE WHEN p < 0.05 THEN '显著' ELSE '不显著' END"
 Z = "1.959964::DOUBLE"
 
@@ -58,7 +82,7 @@ cte(
 cte(
     "t1_row",
     "t1_base",
-    f"SELECT *, {p_t('stat', '(n - 1)')} AS p, mean - {Z} * se AS lo, mean + {Z} * se AS hi FROM t1_base",
+    f"SELECT *, {p_t('stat', '(n - 1)')} AS p, mean - {t_95('(n - 1)')} * se AS lo, mean + {t_95('(n - 1)')} * se AS hi FROM t1_base",
 )
 cte(
     "t1",
@@ -149,7 +173,7 @@ def welch(prefix: str, sample: str, first: str, second: str) -> None:
     cte(
         f"{prefix}_row",
         f"{prefix}_terms",
-        f"SELECT *, {p_t('stat', 'df')} AS p, diff - {Z} * se AS lo, diff + {Z} * se AS hi FROM {prefix}_terms",
+        f"SELECT *, {p_t('stat', 'df')} AS p, diff - {t_95('df')} * se AS lo, diff + {t_95('df')} * se AS hi FROM {prefix}_terms",
     )
 
 

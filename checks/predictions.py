@@ -191,6 +191,19 @@ FROM (SELECT t.song_id, t.last + CAST(h.i AS INTEGER) AS forecast_date, sd,
       FROM trend t CROSS JOIN range(1, 31) h(i) JOIN spread USING (song_id)
       LEFT JOIN seasons e ON e.song_id = t.song_id AND e.wd = isodow(t.last + CAST(h.i AS INTEGER)))""",
 )
+_TERMS = ["1.0::DOUBLE", "u", *[f"greatest(u - {0.8 * k / 5!r}::DOUBLE, 0.0::DOUBLE)" for k in range(1, 6)]]
+for _k in (1, 2):
+    _TERMS += [f"{f}({2 * math.pi * _k!r}::DOUBLE * (d / 7.0::DOUBLE - floor(d / 7.0::DOUBLE)))" for f in ("sin", "cos")]
+_LIST = "[" + ", ".join(_TERMS) + ", heat_score]"
+add(
+    "ml_forecast_gram",
+    "song_daily",
+    f""", s AS (SELECT song_id, heat_score, CAST(date_diff('day', DATE '1970-01-01', dt) AS DOUBLE) AS d FROM song_daily),
+b AS (SELECT *, min(d) OVER w AS first, max(d) OVER w AS last, count(*) OVER w AS days FROM s WINDOW w AS (PARTITION BY song_id)),
+t AS (SELECT song_id, days, {_LIST} AS v FROM (SELECT *, (d - first) / (last - first) AS u FROM b WHERE days >= 14 AND last > first))
+SELECT song_id, days, i, j, round(sum(v[i + 1] * v[j + 1]), 6) AS product
+FROM t, range(0, 12) a(i), range(0, 12) b(j) WHERE i <= j GROUP BY 1, 2, 3, 4""",
+)
 add("ml_forecast", "forecast", "SELECT * FROM forecast")
 add(
     "gd_forecast_songs",

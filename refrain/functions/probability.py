@@ -49,3 +49,37 @@ def chi2_upper(x: Column, df: Column) -> Column:
     """Upper tail of chi-square through the Wilson-Hilferty cube root."""
     spread = F.lit(2.0) / (9 * df)
     return normal_upper((F.pow(x / df, F.lit(1.0 / 3)) - (1 - spread)) / F.sqrt(spread))
+
+
+# The expansion of Hill's algorithm 396 for quantiles of Student's t.
+HILL_B, HILL_C, HILL_D = 48.0, (20700.0, 98.0, 16.0, 96.36), (94.5, 3.0)
+
+
+def t_quantile_95(df: Column) -> Column:
+    """The value that Student's t exceeds in size with probability 0.05, for 1 or more degrees of freedom.
+
+    Exact for one and two; Hill's expansion beyond (six digits from about five degrees on).
+    """
+    p, x = 0.05, -Z_95
+
+    def once(value: Column, use) -> Column:
+        """``use`` of a value that is computed once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def tail(c: Column, d: Column, n: Column, y: Column, a: Column, b: Column) -> Column:
+        wide = F.when(n < 5, c + 0.3 * (n - 4.5) * (x + 0.6)).otherwise(c)
+        wide = (((0.05 * d * x - 5) * x - 7) * x - 2) * x + b + wide
+        far = (((((0.4 * x * x + 6.3) * x * x + 36) * x * x + 94.5) / wide - x * x - 3) / b + 1) * x
+        near = ((1 / (((n + 6) / (n * y) - 0.089 * d - 0.822) * (n + 2) * 3) + 0.5 / (n + 4)) * y - 1) * (n + 1) / (n + 2) + 1 / y
+        return F.sqrt(n * F.when(y > 0.05 + a, F.exp(a * far * far) - 1).otherwise(near))
+
+    def expansion(n: Column) -> Column:
+        a = 1 / (n - 0.5)
+        b = HILL_B / (a * a)
+        c = ((HILL_C[0] * a / b - HILL_C[1]) * a - HILL_C[2]) * a + HILL_C[3]
+        d = ((HILL_D[0] / (b + c) - HILL_D[1]) / b + 1) * F.sqrt(a * (math.pi / 2)) * n
+        return once(F.struct(c.alias("c"), d.alias("d"), F.pow(d * p, 2 / n).alias("y")), lambda v: tail(v["c"], v["d"], n, v["y"], a, b))
+
+    n = df.cast("double")
+    two = math.sqrt(2 / (p * (2 - p)) - 2)
+    return F.when(n < 1.5, math.cos(p * math.pi / 2) / math.sin(p * math.pi / 2)).when(n == 2, two).otherwise(once(n, expansion))

@@ -18,6 +18,7 @@ from refrain.functions.probability import (
     chi2_one,
     chi2_upper,
     normal_two_sided,
+    t_quantile_95,
     t_two_sided,
 )
 
@@ -57,8 +58,8 @@ def t_one_sample(sample: DataFrame, *, test_id: int, name: str, metric: str) ->
         .withColumns(
             {
                 "p": t_two_sided(F.col("stat"), F.col("n") - 1),
-                "lo": F.col("mean") - Z_95 * F.col("se"),
-                "hi": F.col("mean") + Z_95 * F.col("se"),
+                "lo": F.col("mean") - t_quantile_95(F.col("n") - 1) * F.col("se"),
+                "hi": F.col("mean") + t_quantile_95(F.col("n") - 1) * F.col("se"),
             }
         )
     )
@@ -94,11 +95,15 @@ def welch(row: DataFrame) -> DataFrame:
                 "df": (a + b) * (a + b) / (a * a / (n1 - 1) + b * b / (n2 - 1)),
                 "stat": F.try_divide("diff", "se"),
                 "effect": F.try_divide("diff", F.sqrt(pooled)),
-                "lo": F.col("diff") - Z_95 * F.col("se"),
-                "hi": F.col("diff") + Z_95 * F.col("se"),
             }
         )
-        .withColumn("p", t_two_sided(F.col("stat"), F.col("df")))
+        .withColumns(
+            {
+                "p": t_two_sided(F.col("stat"), F.col("df")),
+                "lo": F.col("diff") - t_quantile_95(F.col("df")) * F.col("se"),
+                "hi": F.col("diff") + t_quantile_95(F.col("df")) * F.col("se"),
+            }
+        )
     )
 
 

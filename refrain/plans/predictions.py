@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from refrain.functions import labels as L
 from refrain.functions.numbers import ratio
-from refrain.operators import evaluate, features, models
+from refrain.operators import evaluate, features, forecasting, models
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
 
@@ -86,6 +86,27 @@ def forecast(w: Warehouse) -> DataFrame:
     return w.forecast
 
 
+@query("ml_forecast_piecewise")
+def forecast_piecewise(w: Warehouse) -> DataFrame:
+    """Trend with change points and a weekly season, by ridge regression per song."""
+    return forecasting.forecast_piecewise(w.song_daily)
+
+
+@query("ml_forecast_gram")
+def forecast_gram(w: Warehouse) -> DataFrame:
+    """The sums of products that the piecewise forecast is fitted from, one row for each pair of terms.
+
+    The last term (number ``size``) is the value itself.
+    """
+    shape = forecasting.Shape()
+    sums = forecasting.gram_sums(w.song_daily, "song_id", "dt", "heat_score", shape)
+    pairs = [(i, j) for i in range(shape.size) for j in range(i, shape.size)] + [(i, shape.size) for i in range(shape.size + 1)]
+    listed = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j")) for i, j in pairs])
+    values = F.concat("gram", "moments", F.array("squares"))
+    each = sums.select("song_id", F.col("n").cast("long").alias("days"), F.inline(F.arrays_zip(listed.alias("p"), values.alias("v"))))
+    return each.select("song_id", "days", "p.i", "p.j", F.round("v", 6).alias("product"))
+
+
 @query("gd_forecast_songs")
 def forecast_songs(w: Warehouse) -> DataFrame:
     named = w.song.select("song_id", "song_name").join(w.forecast, "song_id", "left_semi")

@@ -125,6 +125,22 @@ def test_poisson_weights(spark):
     assert (evaluate.poisson_weights(["7"], 9)[0, :4] == drawn[7]).all()
 
 
+# published two-sided 5 % points of Student's t
+@pytest.mark.parametrize("df, t", [(1, 12.7062), (2, 4.30265), (3, 3.18245), (4, 2.77645), (9, 2.26216), (29, 2.04523), (120, 1.97993), (1_000_000, 1.95997)])
+def test_t_quantiles(spark, df, t):
+    assert value(spark, P.t_quantile_95(F.lit(df))) == pytest.approx(t, rel=1e-4)
+
+
+@pytest.mark.parametrize("n, t", [(5, 2.776445), (10, 2.262157), (30, 2.045230)])
+def test_interval_of_a_small_sample(spark, n, t):
+    rng = random.Random(n)
+    values = [rng.gauss(1, 2) for _ in range(n)]
+    mean = sum(values) / n
+    half = t * math.sqrt(sum((v - mean) ** 2 for v in values) / (n - 1) / n)
+    row = T.t_one_sample(spark.createDataFrame([(v,) for v in values], "value double"), test_id=1, name="n", metric="m").first()
+    assert (row.ci_lower, row.ci_upper) == pytest.approx((mean - half, mean + half), abs=1e-3)
+
+
 def plain_bootstrap(rows, replicates):
     """AUC of every replicate by comparing all pairs."""
     out = []
