@@ -265,12 +265,98 @@ def test_contexts_discover_unknown_identifiers(spark):
 
 
 def test_pattern_scores_follow_the_graph(spark):
-    edges = [("tel:", f"n{i}", 1, True) for i in range(8)] + [("tel:", "new", 2, False), ("id:", "new", 3, False), ("id:", "n1", 1, True), ("the", "n1", 1, True), ("few:", "n2", 1, True)]
+    edges = [("tel", f"n{i}", 1, True) for i in range(8)] + [("tel", "new", 2, False), ("id", "new", 3, False), ("id", "n1", 1, True), ("the", "n1", 1, True), ("few", "n2", 1, True)]
     frame = spark.createDataFrame(edges, "pattern string, instance string, n bigint, seed boolean")
-    totals = spark.createDataFrame([("tel:", 10), ("id:", 4), ("the", 900), ("few:", 1)], "pattern string, total bigint")
+    totals = spark.createDataFrame([("tel", 10), ("id", 4), ("the", 900), ("few", 1)], "pattern string, total bigint")
     scores = {r["pattern"]: r["score"] for r in pii.trusted_patterns(frame, totals).collect()}
-    voice, belief = 0.8, 0.0
-    for _ in range(2):
-        belief = 1 - (1 - min(voice, 0.999))
-        voice = (8 + 2 * belief) / 10
-    assert set(scores) == {"tel:"} and scores["tel:"] == pytest.approx(voice)
+    assert scores == {"tel": 1}
+
+
+WORD = r"[^\x20\x09-\x0D:=]+"
+
+
+def plain_bootstrap(texts, least=0.6, seeds=3):
+    """Added spans of every text: the whole bootstrap in plain Python."""
+    seen, totals = [], {}
+    for row, text in enumerate(texts):
+        text = text or ""
+        for w in re.findall(WORD, text):
+            totals[w.lower()] = totals.get(w.lower(), 0) + 1
+        known = [m.span() for p, fits in PLAIN.values() for m in re.finditer(p, text) if fits(m[0])]
+        words = []
+        for m in re.finditer(WORD, text):
+            w = m[0]
+            if any(c in "0123456789" for c in w):
+                first = re.search("[0-9]", w).start()
+                last = max((i for i, c in enumerate(w) if c.isalnum()), default=first)
+                value = w[: max(first, last) + 1]
+                if len(value) >= 6 and len(digits(value)) >= 4 and not any(a < m.start() + len(value) and m.start() < b for a, b in known):
+                    words.append((m.start(), m.start() + len(value)))
+        for seed, spans in ((True, known), (False, words)):
+            for start, stop in spans:
+                left = re.search(rf"({WORD})[\x20\x09-\x0D:=]*$", text[max(0, start - 64) : start])
+                seen.append((row, left[1].lower() if left else "", text[start:stop], start, stop, seed))
+    graph = {}
+    for _, pattern, value, _, _, seed in seen:
+        n, s = graph.get((pattern, value), (0, False))
+        graph[pattern, value] = (n + 1, s or seed)
+    trusted = {}
+    while True:
+        believed = {v for (p, v), (_, s) in graph.items() if p in trusted}
+        now = {}
+        for pattern in {p for p, _ in graph} - {""}:
+            own = [(n, 1.0 if s or v in believed else 0.5) for (p, v), (n, s) in graph.items() if p == pattern]
+            score = round(sum(n * b for n, b in own) / totals[pattern], 9)
+            if sum(n for n, _ in own) >= least * totals[pattern] and score >= least and sum(b > 0.5 for _, b in own) >= seeds:
+                now[pattern] = score
+        if len(now) == len(trusted):
+            break
+        trusted = now
+    return [sorted((start, stop, value) for r, p, value, start, stop, seed in seen if r == row and not seed and p in now) for row in range(len(texts))]
+
+
+def test_bootstrap_equals_plain_python_on_random_texts(spark):
+    rng = random.Random(12)
+    ids = [f"AB{rng.randrange(10**6):06d}" for _ in range(25)]
+    labels = ["mail", "badge:", "Ref=", "pass no", "the", "id", "key:", "note"]
+    known = [f"u{i}@mail.org" for i in range(12)] + ["10.0.0.7", "+1 (555) 123-4567", "4111111111111111"]
+
+    def text():
+        parts = []
+        for _ in range(rng.randrange(1, 9)):
+            label = rng.choice(labels)
+            share = {"mail": 0.8, "badge:": 0.3, "Ref=": 0.1}.get(label, 0.05)
+            value = rng.choice(known) if rng.random() < share else rng.choice(ids) if label not in ("the", "note") or rng.random() < 0.1 else "words"
+            parts.append(f"{label}{rng.choice([' ', '', '  ']) if label[-1] in ':=' else ' '}{value}{rng.choice(['', '.', ',', ')'])}")
+        return " ".join(parts)
+
+    texts = [text() for _ in range(150)] + [None, ""]
+    out = {r["doc_id"]: [(s["start"], s["stop"], s["value"]) for s in r["context"]] for r in pii.extract(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    want = plain_bootstrap(texts)
+    assert [out[i] for i in range(len(texts))] == want and sum(map(len, want)) > 100
+
+
+def test_found_identifiers_vouch_for_new_patterns(spark):
+    rows = [f"write to email u{i}@mail.org now" for i in range(6)]
+    rows += [f"write to email QQ0881{i:02d} now" for i in range(4)]  # behind the trusted word
+    rows += [f"show badge QQ0881{i:02d} now" for i in range(4)]  # the same behind another one
+    rows += [f"show badge ZZ7770{i:02d} now" for i in range(5)]  # new ones behind that
+    rows += [f"write email:XY0881{i:02d}, now" for i in range(5)]  # glued to the label
+    rows += [f"version 2024.10{i:02d} of the text" for i in range(9)]  # nothing known vouches
+    out = {r["doc_id"]: [s["value"] for s in r["context"]] for r in pii.extract(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()}
+    assert all(not out[i] for i in range(6)) and all(len(out[i]) == 1 for i in range(6, 24)) and out[19] == ["XY088100"]
+    assert all(not out[i] for i in range(24, 33))
+
+
+def test_very_long_texts_cost_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, "call badge AB123456 or x@y.org and " * n)], "doc_id bigint, text string")
+        start = time.perf_counter()
+        row = pii.extract(df).first()
+        assert len(row["email"]) == n
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(12_000) < 3 * seconds(6_000) + 2
