@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.llm.encoding import texts_of
+from refrain.session import cut_lineage, scratch_path
 
 BUCKETS = 1 << 20
 SLICES = 64
@@ -25,6 +26,7 @@ _ROWS = -1  # the slice that holds the number of rows
 BLOCKS = "slice int, block binary"
 MARKS = 1 << 20
 _SEEN = 1 << 16  # digests of texts that a task remembers
+_HELD = 1 << 21  # items that a task holds before it folds them
 
 
 def bucket_of(hashes: np.ndarray) -> np.ndarray:
@@ -72,20 +74,15 @@ def add_up(blocks: DataFrame) -> tuple[np.ndarray, int]:
 
 def count_documents(docs: DataFrame, text: str, items: Callable[[str], np.ndarray]) -> tuple[np.ndarray, int]:
     """Counters of the distinct items of all texts (null: none), and the number of rows."""
-    return add_up(docs.select(text).mapInArrow(_counting(items), BLOCKS))
+    return add_up(docs.select(text).mapInArrow(counting(items), BLOCKS))
 
 
-def _counting(items: Callable[[str], np.ndarray], place: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts the texts of a column; of rows in a row that agree in the columns before it only the first."""
-
+def counting(items: Callable[[str], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, last = Counts(), None
+        counts = Counts()
         for batch in batches:
-            keys = zip(*(batch.column(i).to_pylist() for i in range(place)), strict=True) if place else [None] * batch.num_rows
-            for key, body in zip(keys, texts_of(batch.column(place)), strict=True):
-                if not place or key != last:
-                    counts.add(items(body or ""))
-                last = key
+            for body in texts_of(batch.column(0)):
+                counts.add(items(body or ""))
         yield pa.RecordBatch.from_arrays([*counts.blocks()], names=["slice", "block"])
 
     return count
@@ -104,19 +101,57 @@ def _first_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
-def count_texts(docs: DataFrame, text: str, items: Callable[[str], np.ndarray]) -> tuple[np.ndarray, int]:
-    """As ``count_documents``, but equal texts count once; the number is that of the distinct texts.
+def _first_of_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted (a, b, body) the first body of each (a, b)."""
+    last = None
+    for batch in batches:
+        keep = []
+        for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            keep.append(key != last)
+            last = key
+        yield batch.select([2]).filter(pa.array(keep, pa.bool_()))
+
+
+def distinct_texts(docs: DataFrame, text: str) -> tuple[DataFrame, str]:
+    """(body) of every different text, and the folder of those that occur again, for the caller to remove.
 
     Digests alone are grouped to find the texts that occur again. Only rows that share one of
     ``MARKS`` marks with such a text are sent to where their copies meet, at most a few for each
-    task and text; all others are counted where they are read.
+    task and text; all others stay where they are read.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.xxhash64(body).alias("a"), F.xxhash64(F.lit("text"), body).alias("b"), body.alias("body"))
     rows = rows.withColumn("mark", F.pmod("a", F.lit(MARKS)).cast("int"))
     again = rows.groupBy("a", "b", "mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    marks = F.broadcast(again.select("mark").distinct())  # at most MARKS rows
-    alone = rows.join(marks, "mark", "left_anti").select("body").mapInArrow(_counting(items), BLOCKS)
+    marks = F.broadcast(cut_lineage(again.select("mark").distinct()))  # at most MARKS rows
+    alone = rows.join(marks, "mark", "left_anti").select("body")
     copied = rows.join(marks, "mark", "left_semi").select("a", "b", "body").mapInArrow(_first_seen, "a bigint, b bigint, body string")
-    once = copied.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(_counting(items, 2), BLOCKS)
-    return add_up(alone.unionByName(once))
+    path = scratch_path(docs.sparkSession, "texts")
+    copied.repartition("a", "b").sortWithinPartitions("a", "b").mapInArrow(_first_of_equal, "body string").write.parquet(path)
+    return alone.unionByName(docs.sparkSession.read.schema("body string").parquet(path)), path
+
+
+def tally(texts: DataFrame, items: Callable[[str], np.ndarray], counts: np.ndarray, least: float) -> DataFrame:
+    """(item, n): in how many of the texts each item occurs, exactly, if its counter is above ``least``.
+
+    Other items cannot occur more often than that. Tasks fold what they count.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(counts > least)
+
+    def folded(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["item", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, held, size = shared.value, [], 0
+        for batch in batches:
+            for body in texts_of(batch.column(0)):
+                found = items(body or "")
+                held.append(found[often[bucket_of(found)]])
+                size += len(held[-1])
+                if size >= _HELD:
+                    yield folded(held)
+                    held, size = [], 0
+        yield folded(held)
+
+    return texts.mapInArrow(run, "item bigint, n bigint").groupBy("item").agg(F.sum("n").alias("n"))

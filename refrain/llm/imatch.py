@@ -1,4 +1,12 @@
-"""I-Match fingerprints: distinct terms of a middle document-frequency band under randomised lexicons."""
+"""I-Match fingerprints: distinct terms of a middle document-frequency band under randomised lexicons.
+
+The band leaves out the frequent and the rare terms of the corpus. A lexicon is a fixed random
+subset of the band: ``FAMILIES`` digests give each term a level (level k or more with probability
+2^-k), and the lexicon of a family and level holds the terms of that level and above. A text's part
+under a lexicon is one hash of its terms there, in sorted order; the fingerprint lists the parts of all
+lexicons. Two texts are compared under the sparsest level at which lexicons still meet their terms,
+where parts agree about as often as the texts share their terms.
+"""
 
 from __future__ import annotations
 
@@ -11,13 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from refrain.llm.counters import bucket_of, count_texts
+from refrain.llm.counters import BLOCKS, add_up, bucket_of, counting, distinct_texts, tally
 from refrain.llm.encoding import mapped
+from refrain.session import remove_path
 from refrain.sources.tables import read_table
 
-FAMILIES = 64
-STEPS = 4  # a lexicon holds 2^(-1/4) of the terms of the one before
-BAND = (1e-5, 0.20)  # shares of all distinct texts; a term shares its counter with others, see ``lexicons_of``
+FAMILIES = 20
+LEVELS = 11  # a lexicon holds 1, 1/2, ... 1/1024 of the band
+BAND = (5e-4, 0.20)  # shares of all distinct texts; terms of one text only are below it anyway
 
 
 def term_hashes(text: str) -> np.ndarray:
@@ -30,58 +39,82 @@ def term_hashes(text: str) -> np.ndarray:
 
 
 class Lexicons:
-    """The band as counters of hashed terms, and families of random subsets of it.
+    """The terms of the band as sorted digests, and the digests that deal them to the lexicons.
 
-    Family j orders all terms at random (a digest under seed j); its lexicons hold the terms below
-    a threshold, each a fixed ratio sparser than the one before. A text is fingerprinted under the
-    sparsest lexicon of each family that has any of its terms, so that texts of every length meet
-    few terms: the part is the digest of those terms in sorted order. A text without a term in the
-    band is fingerprinted by the rarer half of its terms.
+    A text without a term in the band is fingerprinted by the rarer half of its terms (by counters).
     """
 
-    def __init__(self, counts: np.ndarray, documents: int, band: tuple[float, float] = BAND, families: int = FAMILIES) -> None:
-        # at least two documents, so that a band of a tiny table isn't empty
-        self.lowest, self.highest = band[0] * documents, max(2.0, band[1] * documents)
-        self.counts = counts
+    def __init__(self, terms: np.ndarray, counts: np.ndarray, families: int = FAMILIES, levels: int = LEVELS) -> None:
+        self.terms, self.counts, self.families, self.levels = terms, counts, families, levels
         rng = np.random.default_rng(20)
         self.seeds = rng.integers(1, 1 << 62, families, dtype=np.uint64) | np.uint64(1)
+        # leading zeros of every value of so many bits
+        self.zeros = np.array([levels - 1 - i.bit_length() for i in range(1 << levels - 1)], np.int8)
 
-    def fingerprint(self, text: str) -> str:
-        """Parts of all families joined by ``.``; empty parts if the text has no term."""
-        terms = term_hashes(text)
-        if not len(terms):
-            return "." * (len(self.seeds) - 1)
-        seen = self.counts[bucket_of(terms)]
-        inside = (seen > self.lowest) & (seen <= self.highest)
-        # no term in the band: the rarer half, with all that are as frequent as its last one
-        terms = terms[inside if inside.any() else seen <= np.sort(seen)[(len(seen) - 1) // 2]]
+    def in_band(self, terms: np.ndarray) -> np.ndarray:
+        if not len(self.terms):
+            return np.zeros(len(terms), bool)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return self.terms[at] == terms
+
+    def levels_of(self, terms: np.ndarray) -> np.ndarray:
+        """The highest level of each term in each family, by the term's digest alone."""
         mixed = terms[None, :] * self.seeds[:, None]
         mixed ^= mixed >> np.uint64(32)
         mixed *= np.uint64(0x9E3779B97F4A7C15)
-        order = mixed.astype(np.float64)
-        order *= 2.0**-64
-        level = np.floor(-np.log2(np.maximum(order.min(axis=1), 2.0**-64)) * STEPS)
-        inside = order <= np.exp2(-level / STEPS)[:, None]
-        return ".".join(xxhash.xxh3_64_hexdigest(terms[row].tobytes())[:8] for row in inside)
-
+        mixed >>= np.uint64(64 - (self.levels - 1))
+        return self.zeros[mixed.astype(np.int64)]
 
-def likeness(a: str, b: str) -> float:
-    """Share of equal parts among those that either text has; texts without any part are alike."""
-    pairs = list(zip(a.split("."), b.split("."), strict=True))
-    either = sum(1 for x, y in pairs if x or y)
-    return sum(1 for x, y in pairs if x and x == y) / either if either else float(a == b)
-
-
-def lexicons_of(docs: DataFrame, text: str = "text") -> Lexicons:
-    """Lexicons over the distinct texts of a table, so that copies do not lift their terms out of the
-    band. Terms share a counter when their digests' ends agree.
-
-    The counters are a fixed number, so what reaches the driver and the tasks does not grow; the
-    share of documents that strangers add to a term's counter is the mean number of distinct terms
-    over the number of counters, whatever the size of the table.
+    def fingerprint(self, text: str) -> str:
+        """Parts joined by ``.``, the lexicons of level 0 first; empty parts where a text has no term."""
+        terms = term_hashes(text)
+        if not len(terms):
+            return "." * (self.families * self.levels - 1)
+        inside = self.in_band(terms)
+        if not inside.any():
+            seen = self.counts[bucket_of(terms)]
+            inside = seen <= np.sort(seen)[(len(seen) - 1) // 2]  # with all that are as frequent as the last one
+        terms = terms[inside]
+        levels = self.levels_of(terms)
+        # sorted by level and, as they are, by digest: the terms of a lexicon come first
+        data = terms[np.argsort(-levels, axis=1, kind="stable")].tobytes()
+        at = levels.astype(np.int64) + self.levels * np.arange(self.families)[:, None]
+        here = np.bincount(at.ravel(), minlength=self.families * self.levels).reshape(self.families, self.levels)
+        held = np.cumsum(here[:, ::-1], axis=1)[:, ::-1].tolist()  # terms of this level and above
+        parts = [""] * (self.families * self.levels)
+        for family in range(self.families):
+            start, last, mark = 8 * len(terms) * family, 0, ""
+            for k in range(self.levels - 1, -1, -1):
+                if (n := held[family][k]) != last:
+                    last, mark = n, xxhash.xxh3_64_hexdigest(data[start : start + 8 * n])[:4]
+                parts[k * self.families + family] = mark
+        return ".".join(parts)
+
+
+def likeness(a: str, b: str, families: int = FAMILIES) -> float:
+    """Share of equal parts at the sparsest level where half of the lexicons hold a term of either text."""
+    left, right = a.split("."), b.split(".")
+    for start in range(len(left) - families, -1, -families):
+        pairs = [(x, y) for x, y in zip(left[start : start + families], right[start : start + families], strict=True) if x or y]
+        if 2 * len(pairs) >= families:
+            return sum(x == y for x, y in pairs) / len(pairs)
+    return float(a == b)
+
+
+def lexicons_of(docs: DataFrame, text: str = "text", band: tuple[float, float] = BAND) -> Lexicons:
+    """Lexicons over the distinct texts of a table, so that copies do not lift their terms out of the band.
+
+    Counters of a fixed size tell which terms may be frequent enough; those are counted exactly. As
+    a text has few terms compared with the reciprocal of the band's lower end, so has the band: at most the
+    mean number of terms of a text over ``band[0]``, whatever the size of the table.
     """
-    counts, documents = count_texts(docs, text, term_hashes)
-    return Lexicons(counts, documents)
+    texts, path = distinct_texts(docs, text)
+    counts, documents = add_up(texts.mapInArrow(counting(term_hashes), BLOCKS))
+    lowest, highest = max(1.0, band[0] * documents), max(2.0, band[1] * documents)
+    chosen = tally(texts, term_hashes, counts, lowest).filter((F.col("n") > lowest) & (F.col("n") <= highest))
+    rows = chosen.select("item").toArrow()
+    remove_path(docs.sparkSession, path)
+    return Lexicons(np.sort(rows.column("item").to_numpy().view(np.uint64)), counts)
 
 
 def fingerprints(docs: DataFrame, lexicons: Lexicons, text: str = "text", out: str = "fingerprint") -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from refrain.llm import counters, imatch, language, pii, secrets
@@ -66,17 +67,54 @@ def test_copies_keep_their_fingerprints(spark):
     rows += [(700, "of the"), (701, "the")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
     lexicons = imatch.lexicons_of(docs)
+    frequency = {}
     texts = {t or "" for _, t in rows}
-    want = np.zeros(counters.BUCKETS, np.int64)
     for t in texts:
-        np.add.at(want, counters.bucket_of(imatch.term_hashes(t)), 1)
-    assert (lexicons.counts == want).all() and lexicons.highest == 0.2 * len(texts)
+        for term in plain_terms(t):
+            frequency[term] = frequency.get(term, 0) + 1
+    band = {t for t, n in frequency.items() if 1 < n <= 0.2 * len(texts)}
+    assert set(lexicons.terms.tolist()) == {xxhash.xxh3_64_intdigest(t.encode()) for t in band} and len(band) < len(frequency)
+    assert [lexicons.fingerprint(t) for t in (hot, other)] == [plain_fingerprint(t, band, lexicons) for t in (hot, other)]
     blank = lexicons.fingerprint("")
-    half = lexicons.fingerprint(" ".join(words[:100] + words[1000:1100]))
-    assert 0.1 < imatch.likeness(lexicons.fingerprint(hot), half) < 1 and imatch.likeness(lexicons.fingerprint(hot), lexicons.fingerprint(other)) < 0.1
+    halves = [imatch.likeness(lexicons.fingerprint(hot), lexicons.fingerprint(" ".join(words[k : k + 100] + words[1000 + k : 1100 + k]))) for k in range(0, 100, 10)]
+    assert 0.1 < np.mean(halves) < 0.6 and imatch.likeness(lexicons.fingerprint(hot), lexicons.fingerprint(other)) < 0.1
     assert blank not in map(lexicons.fingerprint, (hot, other, "of the", "the")) and lexicons.fingerprint("the") == lexicons.fingerprint("The!")
 
 
+def plain_terms(text):
+    return {"".join(c.lower() if "A" <= c <= "Z" else c for c in w).strip(".,;:!?\"'()[]") for w in re.findall(r"[^\x20\x09-\x0D]+", text)} - {""}
+
+
+def plain_level(term, seed, levels):
+    """Leading zeros of a digest's first bits."""
+    x = term * seed % 2**64
+    x = (x ^ x >> 32) * 0x9E3779B97F4A7C15 % 2**64 >> 64 - (levels - 1)
+    return levels - 1 - x.bit_length()
+
+
+def plain_fingerprint(text, band, lexicons):
+    """Each lexicon by itself: its terms, sorted, and one hash of them."""
+    terms = [xxhash.xxh3_64_intdigest(t.encode()) for t in plain_terms(text) & band]
+    parts = []
+    for k in range(lexicons.levels):
+        for seed in lexicons.seeds.tolist():
+            held = sorted((-plain_level(t, seed, lexicons.levels), t) for t in terms if plain_level(t, seed, lexicons.levels) >= k)
+            parts.append(xxhash.xxh3_64_hexdigest(b"".join(t.to_bytes(8, "little") for _, t in held))[:4] if held else "")
+    return ".".join(parts)
+
+
+def test_lexicons_do_not_depend_on_the_text():
+    rng = np.random.default_rng(3)
+    terms = np.sort(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
+    lexicons = imatch.Lexicons(terms, np.zeros(counters.BUCKETS, np.int64))
+    levels = lexicons.levels_of(terms)
+    assert (levels[:, 100:200] == lexicons.levels_of(terms[100:200])).all()
+    assert levels.min() == 0 and levels.max() == lexicons.levels - 1
+    for k in range(6):
+        assert abs((levels >= k).mean() - 2.0**-k) < 0.02
+    assert lexicons.in_band(terms).all() and not lexicons.in_band(terms + np.uint64(1)).any()
+
+
 # ---- language
 
 
