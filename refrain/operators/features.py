@@ -188,6 +188,11 @@ def user_features(activity: DataFrame, as_of: Column, *, horizon: int = 90) -> D
     return known.withColumn("mean_amount", F.col("monetary") / F.col("frequency"))
 
 
+def forecastable(daily: DataFrame, *, minimum: int = 14) -> DataFrame:
+    """(song_id) of the series that are long enough for a forecast."""
+    return daily.groupBy("song_id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= minimum).select("song_id")
+
+
 def forecast(daily: DataFrame, *, horizon: int = 30, minimum: int = 14) -> DataFrame:
     """Daily heat per item for the next days: linear trend plus mean residual of the weekday.
 

@@ -139,12 +139,13 @@ def sentiment_lexicon(documents: DataFrame, sentiment: DataFrame) -> DataFrame:
 def lexicon_score(documents: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Mean weight of the listed words of every text, NULL where none occurs.
 
+    Equal words of a text are folded in its row, so each different word is one row of the join.
     The lexicon may be of any size: its frequent words are heavy keys of the join, so that a word
     found in most texts is not gathered in one task. Texts without listed words keep their row.
     """
-    found = documents.select("doc_id", F.explode(segments(F.col("text"))).alias("word"))
+    found = word_counts(documents.select("doc_id", F.coalesce(segments(F.col("text")), F.array().cast("array<string>")).alias("words")))
     matched = join_heavy(found, lexicon, "word", "occurrences")
-    sums = matched.groupBy("doc_id").agg(F.count("weight").alias("__n"), F.sum(micro(F.col("weight"))).alias("__w"))
+    sums = matched.groupBy("doc_id").agg(F.sum("tf").alias("__n"), F.sum(F.col("tf") * micro(F.col("weight"))).alias("__w"))
     joined = documents.select("doc_id").join(sums, "doc_id", "left").withColumn("matched", F.coalesce("__n", F.lit(0).cast("long")))
     score = ratio(F.col("__w"), F.col("matched") * 1_000_000, 6)
     mood = F.when(score > 0, L.POSITIVE).when(score < 0, L.NEGATIVE).otherwise(L.NEUTRAL)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from refrain.functions import labels as L
 from refrain.functions.calendar import day_period, monday
 from refrain.functions.numbers import money_sum, with_scaled_mean
-from refrain.functions.ordering import add_ntile
+from refrain.functions.selection import add_ntiles
+from refrain.session import cut_lineage
 
 
 def rfm_base(activity: DataFrame, as_of: Column) -> DataFrame:
@@ -24,14 +25,13 @@ def rfm_base(activity: DataFrame, as_of: Column) -> DataFrame:
 
 
 def rfm_scores(base: DataFrame, *, literal_recency: bool = False) -> DataFrame:
-    """Quartile scores 1..4 per dimension; ties are broken by user id.
+    """Quartile scores 1..4 per dimension; ties are broken by user id. Users are never sorted.
 
     A nearer last action scores higher. ``literal_recency`` instead compares the days with one,
     two and three times the quartile number, a rule kept for users who depend on its output.
     """
-    scored = add_ntile(base, 4, ["recency", "user_id"], "r_quartile")
-    scored = add_ntile(scored, 4, ["frequency", "user_id"], "f_score")
-    scored = add_ntile(scored, 4, ["monetary", "user_id"], "m_score")
+    narrow = cut_lineage(base.withColumn("__cents", (F.col("monetary") * 100).cast("long")))
+    scored = add_ntiles(narrow, {"r_quartile": "recency", "f_score": "frequency", "m_score": "__cents"}, "user_id", 4).drop("__cents")
     days, quartile = F.col("recency"), F.col("r_quartile")
     if literal_recency:
         score = (
@@ -77,6 +77,7 @@ def portrait(comment: DataFrame, sentiment: DataFrame) -> DataFrame:
             *[p.alias(f"__p{i}") for i, p in enumerate(periods)],
         )
     )
+    totals = cut_lineage(totals)  # the bounds below are read from the users, not from the facts
     counters = [F.col(f"__p{i}") for i in range(len(periods))]
     most = F.greatest(*counters)
     favourite = F.coalesce(*[F.when(c == most, name) for c, name in zip(counters, L.DAY_PERIODS)])

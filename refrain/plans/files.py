@@ -153,15 +153,14 @@ def song_detail_parts(w: Warehouse) -> DataFrame:
 
 @query("dq_orphan_keys")
 def orphan_keys(w: Warehouse) -> DataFrame:
-    """Rows and keys without a match, per foreign key."""
+    """Rows and keys without a match, per foreign key; every table is read once for all of its keys."""
     part, customer, orders = w.table("part"), w.table("customer"), w.table("orders")
-    checks = [
-        ("comment.song_id", w.comment, "song_id", part, "p_partkey"),
-        ("comment.user_id", w.comment, "user_id", customer, "c_custkey"),
-        ("comment.doc_id", w.comment, "doc_id", w.table("documents"), "doc_id"),
-        ("comment.doc_id->labels", w.comment, "doc_id", w.table("labels"), "doc_id"),
-        ("orders.o_custkey", orders, "o_custkey", customer, "c_custkey"),
-        ("lineitem.l_orderkey", w.table("lineitem"), "l_orderkey", orders, "o_orderkey"),
-        ("lineitem.l_partkey", w.table("lineitem"), "l_partkey", part, "p_partkey"),
+    comment = [
+        ("comment.song_id", "song_id", part, "p_partkey"),
+        ("comment.user_id", "user_id", customer, "c_custkey"),
+        ("comment.doc_id", "doc_id", w.table("documents"), "doc_id"),
+        ("comment.doc_id->labels", "doc_id", w.table("labels"), "doc_id"),
     ]
-    return reduce(DataFrame.unionByName, [orphans(*c) for c in checks])
+    line = [("lineitem.l_orderkey", "l_orderkey", orders, "o_orderkey"), ("lineitem.l_partkey", "l_partkey", part, "p_partkey")]
+    purchase = [("orders.o_custkey", "o_custkey", customer, "c_custkey")]
+    return reduce(DataFrame.unionByName, [orphans(w.comment, comment), orphans(orders, purchase), orphans(w.table("lineitem"), line)])

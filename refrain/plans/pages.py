@@ -209,7 +209,8 @@ def song_top5(w: Warehouse) -> DataFrame:
 
 @query("fd_lifecycle_dist")
 def lifecycle_distribution(w: Warehouse) -> DataFrame:
-    return w.song_rank.groupBy("lifecycle_stage").agg(F.count(F.lit(1)).alias("cnt"))
+    """Song-days per stage; the stage needs no rank, so days are not ranked."""
+    return daily.lifecycle_stage(w.song_daily).groupBy("lifecycle_stage").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @query("gd_song_list")

@@ -109,18 +109,18 @@ def forecast_gram(w: Warehouse) -> DataFrame:
 
 @query("gd_forecast_songs")
 def forecast_songs(w: Warehouse) -> DataFrame:
-    named = w.song.select("song_id", "song_name").join(w.forecast, "song_id", "left_semi")
-    return named.orderBy("song_name", "song_id")
+    """Songs with enough days for a forecast, which need not be made to know them."""
+    return w.song.select("song_id", "song_name").join(features.forecastable(w.song_daily), "song_id").orderBy("song_name", "song_id")
 
 
 @query("gd_forecast_series")
 def forecast_series(w: Warehouse) -> DataFrame:
     """Per item and day: the forecast with its bounds, and the item's first and last date."""
-    dates = w.forecast.groupBy("song_id").agg(
-        F.count(F.lit(1)).alias("days"), F.min("forecast_date").alias("first_date"), F.max("forecast_date").alias("last_date")
+    own = Window.partitionBy("song_id")  # the days ahead of one song
+    dated = w.forecast.withColumns(
+        {"days": F.count(F.lit(1)).over(own), "first_date": F.min("forecast_date").over(own), "last_date": F.max("forecast_date").over(own)}
     )
-    named = w.forecast.join(dates, "song_id").join(w.song.select("song_id", "song_name"), "song_id")
-    return named.select(
+    return dated.join(w.song.select("song_id", "song_name"), "song_id").select(
         "song_id", "song_name", "days", "first_date", "last_date", "forecast_date", "heat_score", "heat_score_lower", "heat_score_upper"
     )
 

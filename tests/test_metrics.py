@@ -224,9 +224,9 @@ def test_orphan_keys(spark):
 
     comment = spark.createDataFrame([(1, 1), (2, 9), (3, 9), (4, 8), (5, None)], "comment_id long, song_id long")
     songs = spark.createDataFrame([(1,), (1,), (2,)], "song_id long")
-    row = orphans("comment.song_id", comment, "song_id", songs, "song_id").first()
+    row = orphans(comment, [("comment.song_id", "song_id", songs, "song_id")]).first()
     assert (row.orphan_keys, row.orphan_rows) == (2, 3)
-    row = orphans("comment.song_id", comment.filter("song_id = 1"), "song_id", songs, "song_id").first()
+    row = orphans(comment.filter("song_id = 1"), [("comment.song_id", "song_id", songs, "song_id")]).first()
     assert (row.orphan_keys, row.orphan_rows) == (0, 0)
 
 
