@@ -1,5 +1,5 @@
 """All comparison SQL by query name."""
 
-from checks import experiments, files, pages, predictions, showcase, texts
+from checks import experiments, facts, files, pages, predictions, showcase, texts
 
-ORACLES: dict[str, str] = {**showcase.ORACLES, **pages.ORACLES, **texts.ORACLES, **experiments.ORACLES, **predictions.ORACLES, **files.ORACLES}
+ORACLES: dict[str, str] = {**showcase.ORACLES, **pages.ORACLES, **texts.ORACLES, **experiments.ORACLES, **predictions.ORACLES, **files.ORACLES, **facts.ORACLES}

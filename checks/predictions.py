@@ -3,6 +3,7 @@
 import math
 
 from checks.sql import CTES, cte, exact_mean, min_max, rounded, statement
+from refrain.functions.labels import FEATURE_NAMES
 
 ORACLES: dict[str, str] = {}
 
@@ -86,29 +87,8 @@ add(
     f""", top AS (SELECT song_id, hot_prob, CAST(round(hot_prob * 1000000) AS BIGINT) AS u FROM hot_label ORDER BY hot_prob DESC, song_id LIMIT 10)
 SELECT song_id, hot_prob, {rounded('u', 'greatest((SELECT max(u) FROM top), 10000)', 1, 100)} AS width_pct FROM top""",
 )
-FEATURES = {
-    "total_comment_count": "歌曲累计评论数",
-    "total_reply_count": "歌曲累计回复数",
-    "total_like_total": "歌曲累计获赞数",
-    "valid_comment_count": "有效评论数",
-    "negative_ratio": "负面情感占比",
-    "positive_ratio": "正面情感占比",
-    "avg_heat_score": "平均热度分",
-    "max_heat_score": "最高热度分",
-    "days_since_release": "发行距今天数",
-    "release_year": "发行年份",
-    "artist_comment_count": "歌手累计评论数",
-    "artist_reply_count": "歌手累计回复数",
-    "artist_like_total": "歌手累计获赞数",
-    "release_month": "发行月份",
-    "topic_count": "主题覆盖数",
-    "like_per_comment": "每条评论平均获赞",
-    "reply_per_comment": "每条评论平均回复",
-    "like_trend_slope": "like_trend_slope",
-    "comment_trend_slope": "comment_trend_slope",
-    "heat_trend_slope": "heat_trend_slope",
-    "heat_volatility": "heat_volatility",
-}
+# four features have no display name of their own
+FEATURES = {**FEATURE_NAMES, **{c: c for c in ("like_trend_slope", "comment_trend_slope", "heat_trend_slope", "heat_volatility")}}
 add(
     "js_label_map",
     "song_features",

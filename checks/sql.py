@@ -238,10 +238,12 @@ cte(
     """SELECT *, CASE WHEN recency <= r_quartile THEN 4 WHEN recency <= 2 * r_quartile THEN 3
        WHEN recency <= 3 * r_quartile THEN 2 ELSE 1 END AS r_score FROM rfm_tiles""",
 )
-_segment = """CASE WHEN least(r_score, f_score, m_score) >= 3 THEN '高价值用户'
-       WHEN r_score >= 3 AND f_score < 3 THEN '新用户'
-       WHEN r_score < 3 AND least(f_score, m_score) >= 3 THEN '老客流失风险'
-       WHEN greatest(r_score, f_score) <= 2 THEN '沉默用户' ELSE '成长用户' END"""
+# The rules of the segments and their labels; the first that holds wins.
+_segment = """CASE WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 3 THEN '高价值用户'
+       WHEN r_score >= 3 AND f_score <= 2 THEN '新用户'
+       WHEN r_score <= 2 AND f_score >= 3 AND m_score >= 3 THEN '老客流失风险'
+       WHEN r_score <= 2 AND f_score <= 2 THEN '沉默用户'
+       ELSE '成长用户' END"""
 cte("user_rfm", "rfm_scores", f"SELECT *, {_segment} AS rfm_label FROM rfm_scores")
 cte("user_rfm_literal", "rfm_scores_literal", f"SELECT *, {_segment} AS rfm_label FROM rfm_scores_literal")
 

@@ -68,6 +68,9 @@ MODEL_NAMES = {
     "LogisticRegression": "逻辑回归",
 }
 
+# Display names of the other models of this library.
+MODEL_NAMES |= {"GradientBoosting": "梯度提升", "RandomForest": "随机森林"}
+
 # Display names of the item features.
 FEATURE_NAMES = {
     "total_comment_count": "歌曲累计评论数",

@@ -214,18 +214,17 @@ def hot_predict20(w: Warehouse) -> DataFrame:
     )
 
 
+def churn_table(w: Warehouse) -> DataFrame:
+    """Probability and risk of every user, with the recency of the last day, like the features that were scored."""
+    known = features.user_features(w.purchases, w.order_day, horizon=0).select("user_id", "recency_days")
+    return churn_gbt(w).join(known, "user_id").select("user_id", "churn_prob", "risk_level", "recency_days")
+
+
 @query("gd_churn_high10")
 def churn_high10(w: Warehouse) -> DataFrame:
     """The ten users most likely to leave among those at high risk."""
-    risky = churn_gbt(w).filter(F.col("risk_level") == L.RISK_LEVELS[2])
-    # as of the last day, like the features that were scored
-    known = features.user_features(w.purchases, w.order_day, horizon=0).select("user_id", "recency_days")
-    return (
-        risky.join(known, "user_id")
-        .select("user_id", "churn_prob", "risk_level", "recency_days")
-        .orderBy(F.desc("churn_prob"), "user_id")
-        .limit(10)
-    )
+    risky = churn_table(w).filter(F.col("risk_level") == L.RISK_LEVELS[2])
+    return risky.orderBy(F.desc("churn_prob"), "user_id").limit(10)
 
 
 @query("bd_rfm_kmeans")
@@ -266,6 +265,15 @@ def topic_assign(w: Warehouse) -> DataFrame:
     return models.topic_counts(topics(w))
 
 
+def topic_counts_dense(w: Warehouse) -> DataFrame:
+    """Comments per source and topic, 0 where a source has none of a topic."""
+    sources = w.table("documents").select("source").distinct()
+    spine = sources.join(F.broadcast(lda(w).select("topic_id")))  # five topics
+    counts = topic_assign(w).withColumnRenamed("source", "__source")
+    same = spine["source"].eqNullSafe(counts["__source"]) & (spine["topic_id"] == counts["topic_id"])
+    return spine.join(counts, same, "left").select("source", spine["topic_id"], F.coalesce("comment_num", F.lit(0).cast("long")).alias("comment_num"))
+
+
 @query("gd_topic_dist_lda")
 def topic_dist_lda(w: Warehouse) -> DataFrame:
     return models.topic_distribution(topic_assign(w), lda(w))

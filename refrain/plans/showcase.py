@@ -205,6 +205,7 @@ def artist_matrix(
     more_than: int,
     approximate: bool = False,
     collation: str | None = None,
+    top: int | None = 15,
 ) -> DataFrame:
     """Interaction profile per artist. Shares divide row counts by distinct comments.
 
@@ -232,7 +233,7 @@ def artist_matrix(
         .filter(F.col("comment_count") > more_than)
     )
     n = F.col("comment_count")
-    return (
+    profile = (
         grouped.select(
             "artist_name",
             "comment_count",
@@ -249,8 +250,8 @@ def artist_matrix(
             percent(F.col("viral_count"), n, 2).alias("viral_pct"),
         )
         .orderBy(F.desc("interaction_depth"), "artist_name")
-        .limit(15)
     )
+    return profile if top is None else profile.limit(top)
 
 
 ARTIST_MATRIX_MINIMUM = 100

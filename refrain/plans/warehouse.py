@@ -33,9 +33,16 @@ class Warehouse:
 
     @cached_property
     def identity(self) -> tuple:
-        """What results depend on: the place, the day, the choice of comments, and the files of the facts."""
-        files = [f for name in ("events", "documents", "orders", "lineitem", "labels") for f in self.table(name).inputFiles()]
-        return (self.root, self._as_of, self._cleaned, tuple(sorted(files)))
+        """What trained models depend on: the place, the day, and the files of their tables.
+
+        They use orders, lines, parts and documents as they are, whichever comments are chosen.
+        """
+        files = [f for name in ("documents", "orders", "lineitem", "labels", "part") for f in self.table(name).inputFiles()]
+        return (self.root, self._as_of, tuple(sorted(files)))
+
+    def restricted(self) -> Warehouse:
+        """The same place and day over cleaned comments only."""
+        return Warehouse(self.spark, self.root, as_of=self._as_of, cleaned=True)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
@@ -61,6 +68,11 @@ class Warehouse:
             comment = comment.join(kept_documents(self.texts), "doc_id", "left_semi")
         return comment
 
+    @property
+    def comment_detail(self) -> DataFrame:
+        """Comments with their texts; only the table of comment details holds these."""
+        return self.comment.join(self.table("documents").select("doc_id", F.col("text").alias("content")), "doc_id")
+
     @cached_property
     def comment_lengths(self) -> DataFrame:
         return model.with_length(self.comment, self.table("documents"))
