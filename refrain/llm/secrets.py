@@ -182,21 +182,26 @@ def secret_spans(text: Column, window: int = WINDOW, allowed: Sequence[str] = AL
     return run(text)
 
 
+def mask_text(text: str, spans: Sequence[tuple[int, int]], mask: str) -> str:
+    """One walk over the sorted (start, stop); what a span shares with the one before is masked with that."""
+    parts, at = [], 0
+    for start, stop in sorted(spans):
+        if start >= at:
+            parts += [text[at:start], mask]
+        at = max(at, stop)
+    return "".join([*parts, text[at:]])
+
+
 def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every span replaced; overlapping spans become one mask."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        inside = span["start"] < state["at"]
-        return F.struct(
-            F.when(inside, state["out"]).otherwise(F.concat(state["out"], gap, F.lit(mask))).alias("out"),
-            F.greatest(state["at"], span["stop"]).alias("at"),
-        )
-
-    joined = F.aggregate(ordered, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+    """The text with every span replaced; overlapping spans become one mask. Null stays null."""
+
+    @F.arrow_udf("string")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for bodies, found in batches:
+            rows = zip(texts_of(bodies), found.to_pylist(), strict=True)
+            yield pa.array([t if t is None or not f else mask_text(t, [(s["start"], s["stop"]) for s in f], mask) for t, f in rows], pa.string())
+
+    return F.when(F.size(spans) > 0, run(text, spans)).otherwise(text)
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
