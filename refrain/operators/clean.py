@@ -66,14 +66,22 @@ def drop_listed(documents: DataFrame, terms: DataFrame) -> DataFrame:
     lengths = listed.filter(joined).agg(F.collect_set(F.char_length("word"))).scalar()  # one number per length
     text = F.coalesce(F.col("text"), F.lit(""))
 
-    def stretches(length: Column) -> Column:
-        starts = F.when(F.char_length(text) >= length, F.sequence(F.lit(1), F.char_length(text) - length + 1)).otherwise(F.array().cast("array<int>"))
-        return F.filter(F.transform(starts, lambda i: F.substring(text, i, length)), lambda s: s.rlike(IDEOGRAPH))
+    def stretches(characters: Column) -> Column:
+        """Strings of the listed lengths, each cut from the list of characters."""
 
-    whole = F.transform(words(text), lambda w: F.struct(w.alias("word"), F.lit(False).alias("joined")))
-    parts = F.when(text.rlike(IDEOGRAPH), F.flatten(F.transform(F.col("__lengths"), stretches))).otherwise(F.array().cast("array<string>"))
+        def of(length: Column) -> Column:
+            last = F.size(characters) - length
+            starts = F.when(last >= 0, F.sequence(F.lit(1), last + 1)).otherwise(F.array().cast("array<int>"))
+            return F.transform(starts, lambda i: F.array_join(F.slice(characters, i, length), ""))
+
+        return F.flatten(F.transform("__lengths", of))
+
+    # different strings are found by hashing, different structs by comparing all of them
+    whole = F.transform(F.array_distinct(words(text)), lambda w: F.struct(w.alias("word"), F.lit(False).alias("joined")))
+    cut = F.transform(F.array(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))), stretches)[0]
+    parts = F.when(text.rlike(IDEOGRAPH), F.filter(F.array_distinct(cut), lambda s: s.rlike(IDEOGRAPH))).otherwise(F.array().cast("array<string>"))
     inside = F.transform(parts, lambda s: F.struct(s.alias("word"), F.lit(True).alias("joined")))
-    found = documents.withColumn("__lengths", lengths).select("doc_id", F.explode(F.array_distinct(F.concat(whole, inside))).alias("f")).select("doc_id", "f.*")
+    found = documents.withColumn("__lengths", lengths).select("doc_id", F.explode(F.concat(whole, inside)).alias("f")).select("doc_id", "f.*")
     # words are compared in lower case, as they are cut; stretches as they stand
     wanted = listed.select(F.when(joined, F.col("word")).otherwise(F.lower("word")).alias("word"), joined.alias("joined")).distinct()
     hit = found.join(wanted, ["word", "joined"], "left_semi").select("doc_id").distinct()

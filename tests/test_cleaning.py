@@ -1,6 +1,7 @@
 """Cleaning rules, exact copies, signatures, near copies and components on small frames."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -60,6 +61,19 @@ def test_blacklist_table_equals_list_for_ideographs(spark):
     assert by_table == by_list == [1, 2, 5, 7, 8, 9]
 
 
+def test_blacklist_table_is_linear_in_the_text(spark):
+    terms = spark.createDataFrame([("加微信",), ("刷单",)], "word string")
+
+    def seconds(n):
+        frame = spark.createDataFrame([(1, "".join(chr(0x4E00 + (7 * i) % 9000) for i in range(n)) + "刷单")], "doc_id long, text string")
+        start = time.perf_counter()
+        assert clean.drop_listed(frame, terms).count() == 0
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(80_000) < 3 * seconds(40_000) + 2
+
+
 def test_short_comments_survive(spark):
     assert failures(spark, ["好听", "太棒了吧", "nice!", "x"]) == [None, None, None, "too_short"]
     rules = clean.spam_rules(F.lit("nice!"), minimum_length=10)
