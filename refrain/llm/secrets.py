@@ -192,25 +192,26 @@ def mask_text(text: str, spans: Sequence[tuple[int, int]], mask: str) -> str:
     return "".join([*parts, text[at:]])
 
 
-def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every span replaced; overlapping spans become one mask. Null stays null."""
+def masked(text: Column, mask: str = "[SECRET]", window: int = WINDOW, allowed: Sequence[str] = ALLOWED) -> Column:
+    """The text with every secret replaced, found and masked in one pass; overlapping spans become
+    one mask. Null where there is none, so that such texts need not be sent back."""
 
     @F.arrow_udf("string")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for bodies, found in batches:
-            rows = zip(texts_of(bodies), found.to_pylist(), strict=True)
-            yield pa.array([t if t is None or not f else mask_text(t, [(s["start"], s["stop"]) for s in f], mask) for t, f in rows], pa.string())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scanner = Scanner(window, allowed)
+        for batch in batches:
+            rows = ((t, [(s, e) for s, _, e in scanner.spans(t or "")]) for t in texts_of(batch))
+            yield pa.array([mask_text(t, found, mask) if found else None for t, found in rows], pa.string())
 
-    return F.when(F.size(spans) > 0, run(text, spans)).otherwise(text)
+    return run(text)
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """The same rows and columns with secrets masked; ``n_chars`` follows where there is one."""
-    found = df.withColumn("__spans", secret_spans(F.col(text)))
-    found = found.withColumn(text, masked(F.col(text), F.col("__spans")))
+    found = df.withColumn("__masked", masked(F.col(text)))
     if "n_chars" in df.columns:
-        found = found.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return found.select(*df.columns)
+        found = found.withColumn("n_chars", F.coalesce(F.length("__masked").cast("long"), F.col("n_chars")))
+    return found.withColumn(text, F.coalesce("__masked", F.col(text))).select(*df.columns)
 
 
 def joined_spans(spans: Column) -> Column:
