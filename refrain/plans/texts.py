@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from refrain.operators import clean, keywords, nearcopies, segmentation, survivors
 from refrain.plans.registry import query
 from refrain.plans.warehouse import Warehouse
+from refrain.session import cut_lineage
 from refrain.sources.model import document_sentiment
 
 
@@ -46,7 +47,7 @@ def near(w: Warehouse) -> DataFrame:
 def near_pairs(w: Warehouse) -> DataFrame:
     """Pairs of distinct signatures at most three bits apart."""
     distinct = nearcopies.signatures(w.texts).select("signature").distinct()
-    pairs = nearcopies.close_pairs(distinct)
+    pairs = nearcopies.close_pairs(cut_lineage(distinct))  # read several times; the texts once
     distance = F.bit_count(F.col("low").bitwiseXOR(F.col("high"))).cast("long")
     return pairs.select("low", "high", distance.alias("distance"))
 

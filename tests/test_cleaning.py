@@ -3,11 +3,13 @@
 import random
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from refrain.operators import clean, nearcopies
 from refrain.operators.components import components
 from refrain.operators.tokens import segments
+from refrain.plans.catalog import REGISTRY
 
 
 def failures(spark, texts):
@@ -150,6 +152,24 @@ def test_signature_is_the_majority_vote(spark):
     assert got == {1: want}
 
 
+def test_votes_of_a_batch_stay_with_their_text(spark):
+    lists = [["a", "b", "a"], [], None, ["b"], ["c"] * 5000 + ["a"]]
+    got = nearcopies.majority(pa.array(lists, pa.list_(pa.string()))).to_pylist()
+    alone = [nearcopies.majority(pa.array([w], pa.list_(pa.string())))[0].as_py() for w in lists]
+    assert got == alone and got[1] is got[2] is None
+    assert [got[0], got[3], got[4]] == [nearcopies.word_hash(w) for w in "abc"]
+
+
+def test_pairs_do_not_go_back_to_the_texts(spark, tmp_path):
+    texts = [" ".join(f"word{i}" for i in range(200)) + f" {end}" for end in ("x", "y", "z")]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    pairs = REGISTRY["dedup_simhash_pairs"](spark, str(tmp_path))
+    assert pairs.inputFiles() == []
+    values = [r.signature for r in nearcopies.signatures(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect()]
+    assert sorted((r.low, r.high) for r in pairs.collect()) == brute_pairs(values)
+
+
 def test_near_groups_keep_the_earliest(spark):
     base = " ".join(f"word{i}" for i in range(300))
     texts = [base, "something else entirely here", base + " extra", base.upper(), "other " + base]
