@@ -114,6 +114,22 @@ def test_buckets_hold_all_words_and_give_the_topics_of_the_full_fit(spark):
     assert all(r.w == pytest.approx(1, abs=0.02) for r in total)  # what is left lies in empty buckets
 
 
+def test_topic_rounds_shuffle_sums_only(spark):
+    """Shares of a document are those of a plain loop; empty texts have none; the same model on every run."""
+    documents = spark.createDataFrame([(1, "s", "melody guitar melody"), (2, None, ""), (3, "s", None), (4, "t", "pepper soup pepper")], "doc_id long, source string, text string")
+    first, again = (models.fit_topics(documents, k=2, iterations=5, buckets=64) for _ in range(2))
+    assert isinstance(first.model, models.TopicModel) and (first.model.weights == again.model.weights).all()
+    assert first.model.weights.sum() == pytest.approx(6 + 64 * 2 * models.TOPIC_PRIOR)  # every word once
+    assert sum(r.comment_num for r in models.topic_counts(first).collect()) == 4
+    shares = first.model.weights / first.model.weights.sum(axis=0)
+    for r in first.model.transform(first.vectors).collect():
+        mine = [sum(r.times) / 2] * 2
+        for _ in range(models.TOPIC_STEPS):
+            parts = [[shares[b][t] * (mine[t] + 0.5) for t in (0, 1)] for b in r.bucket]
+            mine = [sum(n * p[t] / sum(p) for n, p in zip(r.times, parts)) for t in (0, 1)]
+        assert r.topicDistribution == pytest.approx([m / sum(r.times) if r.times else 0 for m in mine])
+
+
 def by_topic(words):
     found = {}
     for r in words.collect():
