@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ LEAST_COUNT = 5
 LEAST_COHESION = 1.5  # natural logarithm
 LEAST_FREEDOM = 1.0  # entropy of the neighbours on the narrower side
 MOST = 1 << 18
+TOGETHER = 1 << 20  # characters whose strings a task counts at once
 _START, _END = "\x02", "\x03"
 _BESIDE = "[^\\p{L}\\p{N}\\s]+"  # what ends a phrase
 
@@ -47,22 +49,52 @@ def joined_runs(text: Column) -> Column:
     return F.transform(phrases(text), lambda p: F.replace(p, F.lit(" "), F.lit("")))
 
 
+def windows(runs: Mapping[str, int], longest: int) -> Iterator[tuple[list[str], np.ndarray]]:
+    """For each length the different strings of the runs, and how often they occur, a run as often as it is given.
+
+    Strings are numbered: one of a length is that of the length before and a character more.
+    """
+    joined = "".join(f"{_START}{r}{_END}" for r in runs)
+    sizes = np.array([len(r) + 2 for r in runs], np.int64)
+    times = np.repeat(np.array(list(runs.values()), np.int64), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(joined))  # characters up to the end of the run
+    alphabet, code = np.unique(np.frombuffer(joined.encode("utf-32-le"), np.uint32), return_inverse=True)
+    at, number = np.arange(len(joined)), np.zeros(len(joined), np.int64)
+    for length in range(1, longest + 1):
+        going = left[at] >= length
+        at, number = at[going], number[going]
+        _, first, number = np.unique(number * len(alphabet) + code[at + length - 1], return_index=True, return_inverse=True)
+        yield [joined[i : i + length] for i in at[first].tolist()], np.bincount(number, times[at], len(first)).astype(np.int64)
+
+
 def string_counts(runs: DataFrame, longest: int) -> DataFrame:
     """(string, length, n): how often each string of up to ``longest`` characters occurs in ``run``.
 
     A run is framed by two marks that count as characters, so that its ends are neighbours like any
-    other. Strings are cut from the list of characters, not from the start of the run each time.
+    other. Strings are counted where the runs lie, ``TOGETHER`` characters at a time; only counts are shuffled.
     """
-    folded = runs.filter("run <> ''").groupBy("run").agg(F.count(F.lit(1)).alias("times"))
-    characters = F.concat(F.array(F.lit(_START)), F.regexp_extract_all("run", F.lit("(?s)."), F.lit(0)), F.array(F.lit(_END)))
-    listed = folded.select("times", characters.alias("c"))
 
-    def windows(length: int) -> Column:
-        last = F.size("c") - length + 1
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice("c", i, F.lit(length)), ""))).otherwise(F.array().cast("array<string>"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, int] = {}
+        size = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for strings, n in windows(held, longest):
+                yield pa.RecordBatch.from_arrays([pa.array(strings, pa.string()), pa.array(n)], names=["string", "n"])
 
-    strings = listed.select("times", F.explode(F.concat(*[windows(k) for k in range(1, longest + 1)])).alias("string"))
-    counts = strings.groupBy("string").agg(F.sum("times").alias("n"))
+        for batch in batches:
+            for r in batch.column(0).to_pylist():
+                if r not in held:
+                    size += len(r) + 2
+                held[r] = held.get(r, 0) + 1
+                if size >= TOGETHER:
+                    yield from counted()
+                    held.clear()
+                    size = 0
+        if held:
+            yield from counted()
+
+    counts = runs.select("run").filter("run <> ''").mapInArrow(run, "string string, n bigint").groupBy("string").agg(F.sum("n").alias("n"))
     return counts.withColumn("length", F.char_length("string"))
 
 

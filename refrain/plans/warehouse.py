@@ -90,7 +90,7 @@ class Warehouse:
 
     @cached_property
     def joined_lexicon(self) -> DataFrame:
-        runs = self.texts.select(F.explode(segmentation.joined_runs(F.col("text"))).alias("run"))
+        runs = self.texts.select(F.explode_outer(segmentation.joined_runs(F.col("text"))).alias("run"))
         return segmentation.learn(runs)
 
     @cached_property

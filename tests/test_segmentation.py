@@ -50,6 +50,23 @@ def test_learned_words(spark):
     assert {"音乐", "好听", "旋律"} <= set(learned) and "乐好" not in learned
 
 
+def test_strings_are_counted_where_the_runs_lie(spark, monkeypatch):
+    runs = ["ab", "aab", "a", "ab", "𝒳b𝒳", "", None, "的好的好"]
+    frame = spark.createDataFrame([(r,) for r in runs], "run string")
+    want = {}
+    for r in filter(None, runs):
+        framed = f"\x02{r}\x03"
+        for k in range(1, 5):
+            for i in range(len(framed) - k + 1):
+                want[framed[i : i + k]] = want.get(framed[i : i + k], 0) + 1
+    for together in (1, 6, 1 << 20):
+        monkeypatch.setattr(segmentation, "TOGETHER", together)
+        counts = segmentation.string_counts(frame, 4)
+        assert {r.string: r.n for r in counts.collect()} == want
+    text = counts._jdf.queryExecution().toString()
+    assert text.count("Aggregate [") and "times" not in text  # runs themselves are not shuffled
+
+
 def brute_path(run, shares, longest):
     """The best of all divisions."""
     unknown = 2 * min(shares.values()) - 1
