@@ -79,6 +79,18 @@ def test_forecast_continues_a_line_and_skips_short_series(spark):
     assert all(0 <= r.heat_score_lower <= r.heat_score <= r.heat_score_upper for r in out)
 
 
+def test_facts_are_dealt_out_by_item_once(spark, monkeypatch):
+    monkeypatch.setattr(features, "cut_lineage", lambda df: df)
+    day = datetime.date(2024, 1, 1)
+    rows = [(i % 3, day + datetime.timedelta(days=i), 1, i % 2, 0, 1, 2) for i in range(90)]
+    facts = spark.createDataFrame(rows, "song_id long, dt date, likes long, negative int, positive int, valid int, topic_bit int")
+    song = spark.createDataFrame([(i, "a") for i in range(3)], "song_id long, artist_id string")
+    frame = features.song_features(facts, song, F.lit(day))
+    plan = frame._jdf.queryExecution().toString()
+    assert "hashpartitioning(song_id" in plan and "_groupingexpression" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+    assert sorted((r.song_id, r.total_comment_count, r.total_reply_count) for r in frame.collect()) == [(i, 30, 15) for i in range(3)]
+
+
 def test_topics_and_sentiment_model(spark):
     music = [(i, "s1", "melody guitar chorus drum melody") for i in range(30)]
     food = [(100 + i, "s2", "noodle dumpling pepper soup noodle") for i in range(30)]
