@@ -225,3 +225,23 @@ def test_holdout_is_in_no_fold_and_predictions_cover_the_last_day(spark):
     scored = learning.churn_predictions(w, "LogisticRegression")
     assert scored.count() == w.purchases.select("user_id").distinct().count() >= suite.frame.count()
     assert scored.filter("churn_prob < 0 or churn_prob > 1 or churn_prob is null").count() == 0
+
+
+def test_metrics_do_not_build_the_rows_to_be_predicted(spark, monkeypatch):
+    """Only predictions read the features of the last day; the bounds and ranks of the labels read totals, not facts."""
+    made = []
+    monkeypatch.setattr(models, "scoring_frame", lambda data, *_: made.append(data) or data)
+    w = Warehouse(spark, "/root/testdata/sf0.001", as_of=datetime.date(1997, 7, 7))
+    suites = [learning.suite_of(w, kind) for kind in ("hot", "churn")]
+    assert all(s.frame.count() for s in suites) and not made
+    assert suites[0].ahead is suites[0].ahead and suites[1].ahead is suites[1].ahead and len(made) == 2
+
+
+def test_labels_read_the_facts_once(spark, monkeypatch):
+    cut = []
+    monkeypatch.setattr(features, "cut_lineage", lambda df: cut.append(df) or df)
+    day = datetime.date(2024, 1, 1)
+    facts = spark.createDataFrame([(i, day, 1, float(i + j)) for i in range(20) for j in range(3)], "song_id long, dt date, likes long, amount double")
+    out = features.hot_label(facts).collect()
+    assert len(cut) == 1 and cut[0].count() == 20
+    assert sorted(r.song_id for r in out if r.is_hot) == [18, 19]
