@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,16 +141,58 @@ def sentiment_lexicon(documents: DataFrame, sentiment: DataFrame) -> DataFrame:
     return cut_lineage(weighed)
 
 
-def lexicon_score(documents: DataFrame, lexicon: DataFrame) -> DataFrame:
+FREQUENT = 1 << 16  # words of a lexicon that every task is given
+
+
+def matched_words(documents: DataFrame, frequent: list[tuple[str, int]], rest: bool) -> DataFrame:
+    """(doc_id, word, tf, w) of (doc_id, words): a row of each text without word, with the number and the sum of its frequent words.
+
+    With ``rest``, every other word of the text that is no stop word follows in a row of its own, where w is NULL.
+    """
+    listed = pa.array([word for word, _ in frequent], pa.string())
+    weights = np.array([*(w for _, w in frequent), 0], np.int64)
+    stop = pa.array(STOP_WORDS, pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                ids, lists = batch.slice(start, 1024).columns
+                rows = np.repeat(np.arange(len(lists), dtype=np.int64), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                coded = lists.flatten().dictionary_encode()
+                codes = coded.indices.to_numpy(zero_copy_only=False)
+                places = pc.index_in(coded.dictionary, value_set=listed).fill_null(len(listed)).to_numpy(zero_copy_only=False)
+                found = places[codes] < len(listed)
+                n = np.bincount(rows[found], minlength=len(lists))
+                # sums of doubles, exact below 2**53
+                w = np.rint(np.bincount(rows, weights[places][codes], minlength=len(lists))).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([ids, pa.nulls(len(ids), pa.string()), pa.array(n.astype(np.int64)), pa.array(w)], names=names)
+                if rest:
+                    kept = ~found & ~pc.is_in(coded.dictionary, value_set=stop).to_numpy(zero_copy_only=False)[codes]
+                    pairs, tf = np.unique(rows[kept] << 32 | codes[kept].astype(np.int64), return_counts=True)
+                    words = coded.dictionary.take(pa.array(pairs & 0xFFFFFFFF))
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(pairs >> 32)), words, pa.array(tf.astype(np.int64)), pa.nulls(len(pairs), pa.int64())], names=names)
+
+    names = ["doc_id", "word", "tf", "w"]
+    return documents.select("doc_id", "words").mapInArrow(run, "doc_id bigint, word string, tf bigint, w bigint")
+
+
+def lexicon_score(documents: DataFrame, lexicon: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """Mean weight of the listed words of every text, NULL where none occurs.
 
-    Equal words of a text are folded in its row, so each different word is one row of the join.
-    The lexicon may be of any size: its frequent words are heavy keys of the join, so that a word
-    found in most texts is not gathered in one task. Texts without listed words keep their row.
+    The texts are read once. Their frequent words, a fixed number of the lexicon's, are summed where they are
+    read; the lexicon may be of any size, and what is left of it is joined to the words that are left of the texts,
+    of which none is a hot key of the lexicon. Texts without listed words keep their row.
     """
-    found = word_counts(documents.select("doc_id", F.coalesce(segments(F.col("text")), F.array().cast("array<string>")).alias("words")))
-    matched = join_heavy(found, lexicon, "word", "occurrences")
-    sums = matched.groupBy("doc_id").agg(F.sum("tf").alias("__n"), F.sum(F.col("tf") * micro(F.col("weight"))).alias("__w"))
+    weighed = lexicon.select("word", micro(F.col("weight")).alias("weight"), "occurrences")
+    top = [(r.word, r.weight) for r in weighed.orderBy(F.desc("occurrences"), "word").limit(frequent).collect()]  # a fixed number
+    rest = len(top) == frequent
+    found = matched_words(documents.select("doc_id", segments(F.col("text")).alias("words")), top, rest)
+    if rest:
+        # a row of a text gets a key that is no word, so that these rows are dealt out evenly
+        own = F.concat(F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+        joined = found.withColumn("word", F.coalesce("word", own)).join(weighed.drop("occurrences"), "word", "left")
+        found = joined.select("doc_id", "tf", F.coalesce("w", F.col("tf") * F.col("weight")).alias("w")).filter("w is not null")
+    sums = found.groupBy("doc_id").agg(F.sum("tf").alias("__n"), F.sum("w").alias("__w"))
     joined = documents.select("doc_id").join(sums, "doc_id", "left").withColumn("matched", F.coalesce("__n", F.lit(0).cast("long")))
     score = ratio(F.col("__w"), F.col("matched") * 1_000_000, 6)
     mood = F.when(score > 0, L.POSITIVE).when(score < 0, L.NEGATIVE).otherwise(L.NEUTRAL)

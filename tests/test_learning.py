@@ -245,3 +245,17 @@ def test_labels_read_the_facts_once(spark, monkeypatch):
     out = features.hot_label(facts).collect()
     assert len(cut) == 1 and cut[0].count() == 20
     assert sorted(r.song_id for r in out if r.is_hot) == [18, 19]
+
+
+def test_lexicon_of_any_size_reads_the_texts_once(spark):
+    texts = ["good good day the", "bad day", "the the", "", None, "音乐很好 good", "rare word bad bad"]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    listed = [("good", 0.7, 9), ("day", -0.1, 8), ("bad", -0.9, 7), ("音乐", 0.3, 2), ("rare", 0.2, 1)]
+    lexicon = spark.createDataFrame(listed, "word string, weight double, occurrences long")
+    whole = {r.doc_id: r for r in keywords.lexicon_score(documents, lexicon).collect()}
+    assert [whole[i].matched for i in range(7)] == [3, 2, 0, 0, 0, 2, 3]
+    assert whole[0].score == pytest.approx(1.3 / 3, abs=1e-6) and whole[6].score == pytest.approx(-1.6 / 3, abs=1e-6) and whole[3].score is None
+    for frequent in (1, 2, 5):
+        frame = keywords.lexicon_score(documents, lexicon, frequent)
+        assert {r.doc_id: r for r in frame.collect()} == whole
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
