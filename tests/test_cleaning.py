@@ -6,6 +6,7 @@ import time
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from refrain.operators import components as components_module
 from refrain.operators import clean, nearcopies, survivors
 from refrain.operators.components import components
 from refrain.operators.tokens import segments
@@ -208,3 +209,13 @@ def test_components_of_chain_star_and_ring(spark):
 
 def test_components_without_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_edges_are_found_once(spark, monkeypatch):
+    """Components turn each edge in its row, so what finds the edges runs once."""
+    cut = []
+    monkeypatch.setattr(components_module, "cut_lineage", lambda df: cut.append(df) or df.localCheckpoint())
+    edges = spark.createDataFrame([(1, 2), (3, 2), (7, 8)], "a long, b long").groupBy("a", "b").count()
+    found = {r.node: r.root for r in components_module.components(edges).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7}
+    assert cut[0]._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1 and cut[0].count() == 6
