@@ -5,6 +5,7 @@ import math
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +139,52 @@ def test_boundaries_of_joined_phrases(spark):
     assert tuple(made[900])[1:] == tuple(made[901])[1:] == (0, 0, 0)
     common, true, found = (sum(r[c] for r in made.values()) for c in ("n_common", "n_true", "n_found"))
     assert common / true > 0.95 and common / found > 0.9
+
+
+@pytest.mark.parametrize("longest", [1, 3, 5])
+def test_paths_side_by_side_are_best_paths(longest):
+    rng = random.Random(longest)
+    text = lambda n: "".join(rng.choice("aabc𝒳的") for _ in range(n))
+    shares = {text(rng.randrange(1, longest + 1)): -rng.randrange(1, 5) / 2 for _ in range(40)}
+    runs = [text(rng.randrange(0, 40)) for _ in range(300)]
+    codes = np.frombuffer("".join(runs).encode("utf-32-le"), np.uint32).astype(np.int64)
+    unknown = segmentation.weight_of_unknown(shares)
+    ends = segmentation.path_ends(codes, np.array([len(r) for r in runs]), segmentation._Trie(shares, longest), longest, unknown)
+    want = np.concatenate([[w_end for w in segmentation.best_path(r, shares, longest) for w_end in [False] * (len(w) - 1) + [True]] for r in runs])
+    assert np.array_equal(ends, want.astype(bool))
+    none = segmentation.path_ends(np.array([97, 98]), np.array([0, 2]), segmentation._Trie({}, longest), longest, -3.0)
+    assert none.tolist() == [True, True]
+
+
+def test_shares_are_not_read_for_every_run(spark):
+    class Read(dict):
+        def values(self):
+            raise AssertionError("all shares were read")
+
+    assert segmentation.best_path("abab", Read({"ab": -1.0}), unknown=-3.0) == ["ab", "ab"]
+    rows = [(k, " ".join(f"w{k}x{i}," for i in range(300))) for k in range(100)]
+    shares = {f"{i:x}": -10.0 for i in range(1 << 18)}
+    made = segmentation.boundary_scores(spark.createDataFrame(rows, "doc_id long, text string"), shares)
+    start = time.perf_counter()
+    assert {r.n_true for r in made.collect()} == {300}
+    assert time.perf_counter() - start < 60  # 30000 phrases
+
+
+def test_scores_are_those_of_phrases_cut_alone(spark, monkeypatch):
+    rng = random.Random(12)
+    known = ["one", "two", "on", "e", "three"]
+    rows = [(k, ". ".join(" ".join(rng.choice(known) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(0, 6)))) for k in range(60)]
+    shares = {w: -1.0 - i / 8 for i, w in enumerate(known)}
+    documents, unknown, want = spark.createDataFrame([*rows, (99, None)], "doc_id long, text string"), segmentation.weight_of_unknown(shares), {99: (0, 0, 0)}
+    for k, text in rows:
+        true, found, at = set(), set(), 0
+        for phrase in filter(None, text.split(". ")):
+            for out, words in ((true, phrase.split(" ")), (found, segmentation.best_path(phrase.replace(" ", ""), shares, 5, unknown))):
+                out |= {at + end for end in np.cumsum([len(w) for w in words]).tolist()}
+            at += len(phrase.replace(" ", ""))
+        want[k] = (len(true), len(found), len(true & found))
+    for side, alone in ((1, 0), (7, 2), (1 << 14, 16)):
+        monkeypatch.setattr(segmentation, "SIDE_BY_SIDE", side)
+        monkeypatch.setattr(segmentation, "ALONE", alone)
+        made = segmentation.boundary_scores(documents, shares).collect()
+        assert {r.doc_id: tuple(r)[1:] for r in made} == want
