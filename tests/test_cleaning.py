@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from refrain.operators import components as components_module
 from refrain.operators import clean, nearcopies, survivors
 from refrain.operators.components import components
-from refrain.operators.tokens import segments
+from refrain.operators.tokens import segments, words
 from refrain.plans.catalog import REGISTRY
 
 
@@ -219,3 +219,29 @@ def test_edges_are_found_once(spark, monkeypatch):
     found = {r.node: r.root for r in components_module.components(edges).collect()}
     assert found == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7}
     assert cut[0]._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1 and cut[0].count() == 6
+
+
+def test_rules_are_those_of_the_tidied_text(spark):
+    texts = [None, "", " \n\t", "a", " a ", "a b", "\u00a0", "\u00a0b", "的", "好听", "x@y.de", "see a.b+c@d-e.org now", "@y.de", "a @y.de", "a@ y.de", "a@b", "a@b.c"]
+    texts += ["WWW.x", "wwwx", "http:/x", "HTTPS://x", "http ://", "aaaaa", "a aaaa", "!!!!!", "12 34", "my Token, here", "tokens", "a to\u212aen", "PASSWORD", "pass word", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for least in (1, 2, 4):
+        whole = F.coalesce("text", F.lit(""))
+        body = F.trim(F.regexp_replace(whole, clean.SPACES, " "))
+        link = "(?i)(https?://|www\\.|[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{2,})"
+        plain = {"empty": body == "", "too_short": F.char_length(body) < least, "link": body.rlike(link), "repeated": whole.rlike("(.)\\1{4,}"), "no_letters": ~body.rlike("\\p{L}")}
+        made = clean.spam_rules(F.col("text"), least)
+        assert list(made) == list(plain)
+        for name in plain:
+            assert frame.filter(made[name] != plain[name]).collect() == [], (least, name)
+    spaced = F.array(*[F.lit(t) for t in clean.BLACKLIST if t.isascii()])
+    expected = F.coalesce(F.arrays_overlap(words(F.col("text")), spaced), F.lit(False))
+    assert frame.filter(clean.has_term(F.col("text"), clean.BLACKLIST) != expected).collect() == []
+    assert frame.filter(expected).count() == 3
+
+
+def test_words_before_an_address_are_not_searched_from_each_letter(spark):
+    frame = spark.createDataFrame([("a" * 9 + "b" * 200_000 + " x@y",), ("ab" * 100_000 + "@z.de",)], "text string").coalesce(1)
+    start = time.perf_counter()
+    assert [r[0] for r in frame.select(clean.spam_rules(F.col("text"))["link"]).collect()] == [False, True]
+    assert time.perf_counter() - start < 30

@@ -2,7 +2,7 @@
 
 import threading
 
-from refrain.operators import models
+from refrain.operators import keywords, models
 from refrain.plans import layers, learning
 from refrain.plans.warehouse import Warehouse
 from refrain.session import scratch_path
@@ -41,3 +41,13 @@ def test_words_of_topics_are_found_once(spark, monkeypatch):
     assert learning.topics_page(w).count() == 5
     assert learning.topic_counts_dense(w).groupBy("topic_id").count().count() == 5
     assert len(built) == 1
+
+
+def test_keywords_of_the_corpus_come_from_the_counts_by_source(spark, monkeypatch):
+    rows = [(1, "s", "guitar and drum, drum"), (2, None, "guitar solo"), (3, "t", "drum 好听的"), (4, "t", None)]
+    documents = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    want = sorted(map(tuple, keywords.corpus_keywords(documents).collect()))
+    counts = keywords.group_counts(documents, ["source"]).localCheckpoint()
+    assert sorted(map(tuple, keywords.group_keywords(documents, "source", counts=counts).collect())) == sorted(map(tuple, keywords.group_keywords(documents, "source").collect()))
+    monkeypatch.setattr(keywords, "group_counts", None)  # the texts are not unfolded again
+    assert sorted(map(tuple, keywords.corpus_keywords(documents, counts=counts).collect())) == want
